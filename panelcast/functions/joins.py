@@ -1,0 +1,15 @@
+"""Joins whose strategy follows the measured size of one side."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+
+def broadcast_if_small(side: DataFrame, max_rows: int = 200_000) -> DataFrame:
+    """Mark ``side`` for broadcast if it has at most ``max_rows`` rows, else leave the choice to Spark.
+
+    Spark's own estimate for a dimension that is itself a join is far too large, which would
+    shuffle the other side for nothing.  The check counts at most ``max_rows + 1`` rows.
+    """
+    return F.broadcast(side) if side.limit(max_rows + 1).count() <= max_rows else side
