@@ -126,3 +126,15 @@ def overlap_audit(direct: DataFrame, split: SplitSpec = SplitSpec(), spec: Panel
         F.count_if(train & valid).alias("shared_rows"),
         F.count_if(train & (F.col("target_date") > F.lit(split.train_end))).alias("train_targets_after_split"),
     )
+
+
+def split_overlap(
+    training: DataFrame, validation: DataFrame, split: SplitSpec = SplitSpec(), spec: PanelSpec = PanelSpec()
+) -> DataFrame:
+    """The same audit for the two slices of a run: training rows at validation origins are shared rows."""
+    validation_rows_total = validation.agg(F.count("*")).scalar()
+    return training.agg(
+        F.count("*").alias("train_rows"),
+        F.count_if(at_origins(split.validation_origins, spec)).alias("shared_rows"),
+        F.count_if(F.col("target_date") > F.lit(split.train_end)).alias("train_targets_after_split"),
+    ).withColumn("validation_rows", validation_rows_total)

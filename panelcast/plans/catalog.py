@@ -14,6 +14,7 @@ from panelcast.operators import (
 )
 from panelcast.plans import warehouse as w
 from panelcast.plans.columns import OUTPUTS, TABLES, spark_select
+from panelcast.sources.sinks import materialize
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -50,7 +51,7 @@ def _seasonal(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _labelled(spark: SparkSession, folder: str) -> DataFrame:
-    return confidence.add_confidence(w.scored(spark, folder))
+    return confidence.add_confidence(w.scored_table(spark, folder))
 
 
 def _slice_summary(rows: DataFrame) -> DataFrame:
@@ -222,7 +223,7 @@ def overlap_audit(spark, folder):
 
 
 def model_comparison(spark, folder):
-    rows = _base_rows(spark, folder)
+    rows = materialize(_base_rows(spark, folder), "origins")
     cells = {
         "persistence": baselines.score_cells(baselines.persistence_forecast(rows), "date"),
         "weekly_seasonal": baselines.score_cells(_seasonal(spark, folder)),
@@ -233,8 +234,8 @@ def model_comparison(spark, folder):
 
 def model_comparison_common(spark, folder):
     forecasts = {
-        "persistence": _naive(spark, folder).withColumnRenamed("date", "origin"),
-        "weekly_seasonal": _seasonal(spark, folder),
+        "persistence": materialize(_naive(spark, folder).withColumnRenamed("date", "origin"), "naive"),
+        "weekly_seasonal": materialize(_seasonal(spark, folder), "seasonal"),
     }
     keys = ["store_nbr", "family", "origin", "horizon"]
     common = baselines.on_common_population(forecasts, keys)
@@ -258,6 +259,15 @@ def _on_scored(operator: Callable[..., DataFrame], *args) -> Query:
     return lambda spark, folder: operator(w.scored(spark, folder), *args)
 
 
+def _on_tail_table(operator: Callable[..., DataFrame], *args) -> Query:
+    """For operators that read their input several times."""
+    return lambda spark, folder: operator(w.tail_table(spark, folder), *args)
+
+
+def _on_scored_table(operator: Callable[..., DataFrame], *args) -> Query:
+    return lambda spark, folder: operator(w.scored_table(spark, folder), *args)
+
+
 def signal_categorical(spark, folder):
     training = direct.training_rows(w.direct(spark, folder, direct.in_training(w.SPLIT)), w.SPLIT)
     domain = signal.category_domain(training, CATEGORICAL)
@@ -275,8 +285,8 @@ def eval_slices(spark, folder):
 
 
 def _fitted(spark: SparkSession, folder: str) -> tuple[model.FittedModel, DataFrame]:
-    training = direct.training_rows(w.direct(spark, folder, direct.in_training(w.SPLIT)), w.SPLIT)
-    validation = w.validation(spark, folder)
+    training = w.training_table(spark, folder)
+    validation = materialize(w.validation(spark, folder), "validation")
     model.same_features(training, validation, MODEL)
     return model.fit(training, validation, MODEL), validation
 
@@ -352,11 +362,11 @@ CHECKED: dict[str, Query] = {
     "seasonal_scores": lambda s, f: baselines.score_cells(_seasonal(s, f)),
     "model_comparison": model_comparison,
     "model_comparison_common": model_comparison_common,
-    "confidence_thresholds": _on_scored(confidence.tier_thresholds),
+    "confidence_thresholds": _on_scored_table(confidence.tier_thresholds),
     "confidence_labels": _labelled,
     "confidence_validation": confidence_validation,
     "tail_rows": w.tail,
-    "tail_overall": _on_tail(tails.tail_overall),
+    "tail_overall": _on_tail_table(tails.tail_overall),
     "tail_by_horizon": _on_tail(tails.tail_by_horizon),
     "tail_by_origin": _on_tail(tails.tail_by_origin),
     "tail_spike_severity": _on_tail(tails.spike_severity, D),
@@ -368,21 +378,21 @@ CHECKED: dict[str, Query] = {
     "severe_by_store": _on_tail(severe.severe_by_store, D),
     "severe_by_horizon": _on_tail(severe.severe_by_horizon, D),
     "severe_by_origin": _on_tail(severe.severe_by_origin, D),
-    "severe_history_compare": _on_tail(severe.history_comparison, HISTORY, D),
+    "severe_history_compare": _on_tail_table(severe.history_comparison, HISTORY, D),
     "severe_worst": _on_tail(severe.worst_severe, D),
     "well_predicted": _on_tail(severe.well_predicted_rows, D),
     "series_concentration": _on_tail(severe.series_concentration, D),
     "severe_summary": _on_tail(severe.severe_summary, MODEL_FEATURES, D),
     "promotion_test": _on_tail(severe.promotion_test, D, target_columns=("onpromotion",)),
     "signal_population": _on_tail(signal.signal_population, D),
-    "signal_numeric": _on_tail(signal.numeric_signal, NUMERIC, D),
-    "signal_strongest": lambda s, f: signal.strongest_signal(signal.numeric_signal(w.tail(s, f), NUMERIC, D)),
+    "signal_numeric": _on_tail_table(signal.numeric_signal, NUMERIC, D),
+    "signal_strongest": lambda s, f: signal.strongest_signal(signal.numeric_signal(w.tail_table(s, f), NUMERIC, D)),
     "signal_categorical": signal_categorical,
     "error_by_horizon": _on_scored(errors.error_by_horizon),
     "error_by_origin": _on_scored(errors.error_by_origin),
     "error_by_sales_level": _on_scored(errors.error_by_sales_level, D),
-    "bias_overall": _on_scored(errors.bias_overall),
-    "bias_by_horizon": _on_scored(errors.bias_by_horizon),
+    "bias_overall": _on_scored_table(errors.bias_overall),
+    "bias_by_horizon": _on_scored_table(errors.bias_by_horizon),
     "worst_predictions": _on_scored(errors.worst_predictions, D),
     "error_summary": _on_scored(errors.error_summary),
     "eval_origin_horizon": _on_scored(evaluation.by_origin_and_horizon),

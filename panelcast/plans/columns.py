@@ -1,7 +1,7 @@
 """Columns of every registered query and how they are put out for comparison.
 
-``s`` text, ``i`` whole number, ``d`` number rounded to six places, ``e`` large number
-rounded to two, ``t`` day as text.
+``s`` text, ``i`` whole number, ``d`` number rounded to six places, ``r`` rate rounded to
+nine, ``e`` large number rounded to two, ``t`` day as text.
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ _DIRECT = (
     f"{_ROW} store_type:s city:s state:s store_cluster:i origin_sales:d target:d target_date:t day_of_week:i month:i "
     "lag_7:d lag_14:d lag_28:d lag_365:d rolling_mean_7:d rolling_mean_14:d rolling_mean_28:d rolling_std_7:d "
     "rolling_std_14:d rolling_std_28:d rolling_cv_28:d momentum_7_28:d momentum_14_28:d trend_7_28:d yearly_ratio:e "
-    "historical_spike_rate:d"
+    "historical_spike_rate:r"
 )
 _LIST = f"{_ROW} target:d prediction:d error:d prediction_ratio:d"
 _SUMMARY = "count:i mean:d std:d min:d q25:d q50:d q75:d max:d"
@@ -58,7 +58,7 @@ OUTPUTS: dict[str, str] = {
     "rolling_stds": f"{_KEYS} rolling_std_7:d rolling_std_14:d rolling_std_28:d rolling_cv_28:d",
     "trend_features": f"{_KEYS} momentum_7_28:d momentum_14_28:d trend_7_28:d yearly_ratio:e",
     "trend_features_ratio": f"{_KEYS} momentum_7_28:d momentum_14_28:d trend_7_28:d yearly_ratio:d",
-    "spike_features": f"{_KEYS} is_spike_day:i historical_spike_rate:d",
+    "spike_features": f"{_KEYS} is_spike_day:i historical_spike_rate:r",
     "direct_h1": _DIRECT,
     "direct_h7": _DIRECT,
     "direct_h15": _DIRECT,
@@ -123,7 +123,7 @@ OUTPUTS: dict[str, str] = {
     "sample_fixed": f"{_ROW} target:d prediction:d",
 }
 
-_PLACES = {"d": 6, "e": 2}
+_PLACES = {"d": 6, "r": 9, "e": 2}
 
 
 def _pairs(spec: str) -> list[tuple[str, str]]:

@@ -13,10 +13,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelcast.config import INF, DiagnosticsSpec, SplitSpec
-from panelcast.operators.direct import at_origins, build_direct
+from panelcast.operators.direct import at_origins, build_direct, in_training, training_rows
 from panelcast.operators.features import add_features
 from panelcast.operators.panel import daily_panel, densify_calendar
 from panelcast.operators.tail import tail_rows
+from panelcast.sources.sinks import materialize
 
 START, END = dt.date(1999, 1, 1), dt.date(2001, 8, 1)
 
@@ -145,3 +146,15 @@ def tail(spark: SparkSession, folder: str, target_columns: Sequence[str] = ()) -
     return tail_rows(scored(spark, folder, target_columns), DIAGNOSTICS.tail_threshold)
 
 
+def scored_table(spark: SparkSession, folder: str) -> DataFrame:
+    """The scored rows as a written table, for queries that read them several times."""
+    return materialize(scored(spark, folder), "scored")
+
+
+def tail_table(spark: SparkSession, folder: str) -> DataFrame:
+    return tail_rows(scored_table(spark, folder), DIAGNOSTICS.tail_threshold)
+
+
+def training_table(spark: SparkSession, folder: str) -> DataFrame:
+    """The training rows as a written table: fitting reads them many times."""
+    return materialize(training_rows(direct(spark, folder, in_training(SPLIT)), SPLIT), "training")

@@ -1,7 +1,7 @@
-from panelcast.sources.sinks import cut_lineage, parameter_key, read_or_build, write_dataset, write_report
+from panelcast.sources.sinks import materialize, parameter_key, read_or_build, shared_folder, write_dataset, write_report
 from panelcast.sources.tables import SCHEMAS, TableSet, narrow_types, parse_dates, read_csv_table, read_tables
 
 __all__ = [
-    "SCHEMAS", "TableSet", "cut_lineage", "narrow_types", "parameter_key", "parse_dates", "read_csv_table",
-    "read_or_build", "read_tables", "write_dataset", "write_report",
+    "SCHEMAS", "TableSet", "materialize", "narrow_types", "parameter_key", "parse_dates", "read_csv_table",
+    "read_or_build", "read_tables", "shared_folder", "write_dataset", "write_report",
 ]

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import hashlib
 import json
+import tempfile
+import uuid
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.errors import AnalysisException
@@ -60,16 +62,37 @@ def read_or_build(
     return spark.read.parquet(target)
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise a frame that several jobs read, so that losing executors does not recompute it.
+_local_folders: dict[str, tempfile.TemporaryDirectory] = {}
 
-    Uses a reliable checkpoint in the cluster's shared folder, ``spark.checkpoint.dir``.
-    Without that setting the frame is returned as it is.
+
+def shared_folder(spark: SparkSession) -> str | None:
+    """The cluster's folder for intermediate tables: the session's ``spark.checkpoint.dir``.
+
+    Where it is unset a local session gets a folder of its own; a cluster gets none, because
+    a folder of one machine is not visible to the others.
     """
-    spark = df.sparkSession
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
+    if folder:
+        return folder.rstrip("/")
+    if not spark.conf.get("spark.master", "").startswith("local"):
+        return None
+    app = spark.conf.get("spark.app.id")
+    if app not in _local_folders:
+        _local_folders[app] = tempfile.TemporaryDirectory(prefix="panelcast-")
+    return _local_folders[app].name
+
+
+def materialize(df: DataFrame, name: str = "table") -> DataFrame:
+    """Write a frame that several passes read, and return it as read back.
+
+    The passes then prune columns on Parquet instead of recomputing the frame, and losing
+    executors costs no more than a re-read.  Without a shared folder the frame is returned
+    as it is: the results are the same, only recomputed.
+    """
+    spark = df.sparkSession
+    folder = shared_folder(spark)
+    if folder is None:
         return df
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(folder)
-    return df.checkpoint()
+    path = f"{folder}/panelcast/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
