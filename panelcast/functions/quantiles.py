@@ -42,8 +42,13 @@ def exact_quantiles(
     ends: list[float] = []
     for name in names:
         ends += [max(probs[name] - margin, 0.0), min(probs[name] + margin, 1.0)]
+    # a group of at most `accuracy` values is its own bracket: there the margin could be less than a rank
+    whole = F.array(*[F.min("_v"), F.max("_v")] * len(names))
     sketch = values.groupBy(*by).agg(
-        F.count("*").alias("n"), F.percentile_approx("_v", ends, accuracy).alias("ends")
+        F.count("*").alias("n"),
+        F.when(F.count("*") <= accuracy, whole)
+        .otherwise(F.percentile_approx("_v", ends, accuracy))
+        .alias("ends"),
     )
     if by:
         marked = values.join(F.broadcast(sketch) if bounded_groups else sketch, by)

@@ -106,3 +106,12 @@ def test_quantiles_match_percentile(spark, expression, accuracy):
 def test_quantiles_of_nothing(spark):
     row = exact_quantiles(spark.range(5).where("id < 0"), "id", {"m": 0.5}).first()
     assert (row.n, row.m) == (0, None)
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 8, 51, 52, 60])
+def test_quantiles_of_few_values(spark, n):
+    df = spark.range(n).selectExpr("CAST(id * id AS DOUBLE) AS v")
+    probs = {"low": 1 / 3, "mid": 0.5, "high": 2 / 3}
+    row = exact_quantiles(df, "v", probs, accuracy=50).first()
+    expected = df.agg(F.percentile("v", F.array(*[F.lit(p) for p in probs.values()]))).first()[0]
+    assert [row[name] for name in probs] == pytest.approx(expected, rel=1e-12)
