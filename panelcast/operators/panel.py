@@ -21,13 +21,15 @@ def series_window(spec: PanelSpec = PanelSpec()) -> Window:
 
 
 def by_series(df: DataFrame, spec: PanelSpec = PanelSpec()) -> DataFrame:
-    """Place each series in one of ``spark.sql.shuffle.partitions`` partitions.
+    """Place each series in one of the session's shuffle partitions.
 
     The windows need this exchange anyway.  Naming the number keeps adaptive execution from
     merging partitions by their size before the calendar is filled and the horizons are
     stacked, which multiply the rows many times over without another exchange.
     """
-    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    conf = df.sparkSession.conf
+    default = conf.get("spark.sql.shuffle.partitions")
+    partitions = int(conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", default))
     return df.repartition(partitions, *spec.keys)
 
 

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 # number of columns of each given table
 TABLES = {
-    "region": 2, "nation": 3, "customer": 5, "supplier": 4, "part": 6, "orders": 6, "lineitem": 11, "events": 6,
+    "benchmark": 2, "conversations": 4, "customer": 5, "documents": 5, "embeddings": 3, "events": 6, "labels": 3,
+    "lineitem": 11, "nation": 3, "orders": 6, "pages": 3, "part": 6, "region": 2, "supplier": 4,
 }
 
 _METRICS = "count:i mae:d rmse:d wape:d n_null:i"

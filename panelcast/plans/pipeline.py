@@ -22,7 +22,7 @@ from panelcast.operators.direct import (
 )
 from panelcast.operators.features import add_features
 from panelcast.operators.panel import by_series, densify_calendar
-from panelcast.sources.sinks import parameter_key, read_or_build, write_dataset, write_report
+from panelcast.sources.sinks import parameter_key, read_or_build, write_report
 from panelcast.sources.tables import TableSet
 
 # Decimals of the report columns.
@@ -31,6 +31,40 @@ REPORT_DECIMALS = {
     "severe_rate_pct": 2, "percentage": 2, "severe_pct": 2, "well_pct": 2, "difference_pct": 2,
 }
 
+# Row order of the report tables; "-" is descending.
+REPORT_ORDER = {
+    "daily_total": ("date",),
+    "monthly_seasonality": ("month",),
+    "weekly_seasonality": ("weekday",),
+    "baseline_persistence": ("origin", "horizon"),
+    "baseline_weekly": ("origin", "horizon"),
+    "confidence_validation": ("tier_order",),
+    "tail_by_horizon": ("horizon",),
+    "tail_by_origin": ("origin",),
+    "tail_spike_severity": ("level_order",),
+    "tail_largest_under": ("error",),
+    "tail_coverage": ("level_order",),
+    "severe_by_family": ("-severe_count", "family"),
+    "severe_by_store": ("-severe_count", "store_nbr"),
+    "severe_by_horizon": ("horizon",),
+    "severe_by_origin": ("origin",),
+    "severe_history_compare": ("-abs(mean_difference)", "feature"),
+    "severe_worst": ("prediction_ratio",),
+    "series_concentration": ("-severe_count", "-severe_rate", "series"),
+    "signal_numeric": ("-abs(relative_mean_difference_pct)", "feature"),
+    "signal_categorical": ("feature", "-abs(difference_pct)", "level"),
+    "error_by_horizon": ("horizon",),
+    "error_by_origin": ("origin",),
+    "error_by_sales_level": ("level_order",),
+    "bias_by_horizon": ("horizon",),
+    "worst_predictions": ("-absolute_error",),
+    "eval_origin_horizon": ("origin", "horizon"),
+    "eval_horizon_average": ("horizon",),
+    "model_comparison": ("-average_wape",),
+    "importance": ("-importance", "feature"),
+    "attribution": ("-mean_abs_shapley", "feature"),
+}
+
 
 @dataclass(frozen=True)
 class Specs:
@@ -227,7 +261,4 @@ def run(
 def write_reports(result: RunResult, config: RunConfig, fmt: str = "csv") -> None:
     """Write every report table below the run's ``reports`` folder."""
     for name, table in result.reports.items():
-        write_report(table, config.report(name), REPORT_DECIMALS, fmt)
-
-
-__all__ = ["RunResult", "Specs", "enriched_panel", "prepared_panel", "run", "write_dataset", "write_reports"]
+        write_report(table, config.report(name), REPORT_DECIMALS, REPORT_ORDER.get(name, ()), fmt)

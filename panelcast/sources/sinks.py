@@ -24,10 +24,22 @@ def write_dataset(df: DataFrame, path: str, partition_by: Sequence[str] = ()) ->
     df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
 
 
-def write_report(df: DataFrame, path: str, decimals: Mapping[str, int] | None = None, fmt: str = "csv") -> None:
-    """A report table, rounded for reading; reports are small, so one file each."""
+def write_report(
+    df: DataFrame,
+    path: str,
+    decimals: Mapping[str, int] | None = None,
+    order: Sequence[str] = (),
+    fmt: str = "csv",
+) -> None:
+    """A report table, rounded for reading and sorted.
+
+    ``order`` lists SQL expressions, descending with a leading ``-``.  The sort is
+    distributed: a short report ends up in one file, a long one in several.
+    """
     rounded = df.withColumns({c: F.round(c, n) for c, n in (decimals or {}).items() if c in df.columns})
-    rounded.coalesce(1).write.mode("overwrite").option("header", True).format(fmt).save(path)
+    keys = [F.expr(o[1:]).desc_nulls_last() if o.startswith("-") else F.expr(o).asc() for o in order]
+    ordered = rounded.orderBy(*keys) if keys else rounded
+    ordered.write.mode("overwrite").option("header", True).format(fmt).save(path)
 
 
 def parameter_key(*parts: object) -> str:

@@ -93,8 +93,10 @@ def test_materialize_uses_the_shared_folder(spark):
 
 def test_report(spark, tmp_path):
     path = str(tmp_path / "report")
-    write_report(spark.sql("SELECT 1.23456D AS mae, 'x' AS name"), path, {"mae": 2})
-    assert spark.read.option("header", True).csv(path).first().mae == "1.23"
+    table = spark.sql("SELECT * FROM VALUES (1.23456D, 'x'), (-7.0D, 'y'), (NULL, 'z') AS t(mae, name)")
+    write_report(table, path, {"mae": 2}, ["-abs(mae)"])
+    rows = spark.read.option("header", True).csv(path).collect()
+    assert [(r.mae, r.name) for r in rows] == [("-7.0", "y"), ("1.23", "x"), (None, "z")]
 
 
 def test_run_paths(monkeypatch):
