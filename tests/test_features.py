@@ -1,7 +1,7 @@
 import datetime as dt
+import statistics
 
 import numpy as np
-import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -18,37 +18,42 @@ SERIES = {
 }
 
 
-def expected_features(frame: pd.DataFrame) -> pd.DataFrame:
-    """The same features stated in pandas."""
-    parts = []
-    for _, g in frame.sort_values("date").groupby(["store_nbr", "family"]):
-        g = g.copy()
-        past = g["sales"].shift(1)
-        for k in (7, 14, 28, 365):
-            g[f"lag_{k}"] = g["sales"].shift(k)
+def by_hand(values):
+    """Every feature of every row of one series, from plain lists."""
+    out, spikes = [], []
+    for i, today in enumerate(values):
+        row = {f"lag_{k}": values[i - k] if i >= k else None for k in (7, 14, 28, 365)}
         for n in (7, 14, 28):
-            g[f"rolling_mean_{n}"] = past.rolling(n).mean()
-            g[f"rolling_std_{n}"] = past.rolling(n).std()
-        g["rolling_cv_28"] = g["rolling_std_28"] / (g["rolling_mean_28"] + 1e-6)
-        g["momentum_7_28"] = g["rolling_mean_7"] - g["rolling_mean_28"]
-        g["momentum_14_28"] = g["rolling_mean_14"] - g["rolling_mean_28"]
-        g["trend_7_28"] = g["rolling_mean_7"] / (g["rolling_mean_28"] + 1e-6)
-        g["yearly_ratio"] = g["rolling_mean_28"] / (g["lag_365"] + 1e-6)
-        g["is_spike_day"] = (g["sales"] > g["rolling_mean_28"] + 2 * g["rolling_std_28"]).astype(int)
-        g["historical_spike_rate"] = g["is_spike_day"].shift(1).expanding(min_periods=30).mean()
-        parts.append(g)
-    return pd.concat(parts).sort_values(["store_nbr", "family", "date"]).reset_index(drop=True)
-
-
-def test_features_match_pandas(make_series):
-    panel = make_series(SERIES)
-    got = add_features(panel).toPandas().sort_values(["store_nbr", "family", "date"]).reset_index(drop=True)
-    frame = panel.toPandas()
-    want = expected_features(frame)
-    for column in [*FeatureSpec().origin_columns, "lag_7", "lag_14", "lag_28", "lag_365", "is_spike_day"]:
-        left, right = got[column].astype(float), want[column].astype(float)
-        assert (left.isna() == right.isna()).all(), column
-        np.testing.assert_allclose(left.dropna(), right.dropna(), rtol=1e-7, atol=1e-6, err_msg=column)
+            before = values[i - n : i] if i >= n else [None]
+            known = None not in before
+            row[f"rolling_mean_{n}"] = statistics.fmean(before) if known else None
+            row[f"rolling_std_{n}"] = statistics.stdev(before) if known else None
+        week, fortnight, level, spread = (
+            row[c] for c in ("rolling_mean_7", "rolling_mean_14", "rolling_mean_28", "rolling_std_28")
+        )
+        ready = level is not None
+        row["rolling_cv_28"] = spread / (level + 1e-6) if ready else None
+        row["momentum_7_28"] = week - level if ready else None
+        row["momentum_14_28"] = fortnight - level if ready else None
+        row["trend_7_28"] = week / (level + 1e-6) if ready else None
+        year_ago = row["lag_365"]
+        row["yearly_ratio"] = level / (year_ago + 1e-6) if ready and year_ago is not None else None
+        row["historical_spike_rate"] = statistics.fmean(spikes) if len(spikes) >= 30 else None
+        row["is_spike_day"] = int(ready and today is not None and today > level + 2 * spread)
+        spikes.append(row["is_spike_day"])
+        out.append(row)
+    return out
+
+
+def test_features_match_hand_computation(make_series):
+    rows = add_features(make_series(SERIES)).orderBy("store_nbr", "family", "date").collect()
+    expected = [row for key in sorted(SERIES) for row in by_hand([None if v is None else float(v) for v in SERIES[key]])]
+    assert len(rows) == len(expected)
+    for got, want in zip(rows, expected):
+        for column, value in want.items():
+            assert (got[column] is None) == (value is None), (column, got)
+            if value is not None:
+                assert got[column] == pytest.approx(value, rel=1e-7, abs=1e-6), (column, got)
 
 
 def test_warm_up_lengths(make_series):
