@@ -1,8 +1,4 @@
-"""Window aggregates over the rows *before* the current one.
-
-Each takes a series window (``partitionBy(keys).orderBy(date)``).  They are null
-until enough non-null rows exist, and never see the current row.
-"""
+"""Window aggregates over the rows *before* the current one."""
 
 from __future__ import annotations
 
@@ -10,20 +6,8 @@ from pyspark.sql import Column, Window, WindowSpec
 from pyspark.sql import functions as F
 
 
-def rolling_mean(value: Column, series: WindowSpec, rows: int) -> Column:
-    """Mean of the ``rows`` rows before the current one."""
-    frame = series.rowsBetween(-rows, -1)
-    return F.when(F.count(value).over(frame) == rows, F.sum(value).over(frame) / rows)
-
-
-def rolling_std(value: Column, series: WindowSpec, rows: int) -> Column:
-    """Sample standard deviation of the ``rows`` rows before the current one."""
-    frame = series.rowsBetween(-rows, -1)
-    return F.when(F.count(value).over(frame) == rows, F.stddev_samp(value).over(frame))
-
-
 def expanding_mean(value: Column, series: WindowSpec, min_rows: int) -> Column:
-    """Mean of all earlier rows, null while fewer than ``min_rows`` of them are non-null."""
+    """Mean of all earlier rows of ``series``, null while fewer than ``min_rows`` of them are non-null."""
     frame = series.rowsBetween(Window.unboundedPreceding, -1)
     counted = F.count(value).over(frame)
     return F.when(counted >= min_rows, F.sum(value).over(frame) / counted)

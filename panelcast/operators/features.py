@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from panelcast.config import FeatureSpec, PanelSpec
 from panelcast.functions.columns import ratio_or_null, safe_ratio
-from panelcast.functions.rolling import expanding_mean, rolling_mean, rolling_std
+from panelcast.functions.rolling import expanding_mean
 from panelcast.operators.panel import series_window
 
 
@@ -24,10 +24,22 @@ def add_lags(df: DataFrame, features: FeatureSpec = FeatureSpec(), spec: PanelSp
 def add_rolling(df: DataFrame, features: FeatureSpec = FeatureSpec(), spec: PanelSpec = PanelSpec()) -> DataFrame:
     """Rolling mean, standard deviation and coefficient of variation over the rows before each row."""
     series, value, long = series_window(spec), F.col(spec.value), features.long_window
-    means = {f"rolling_mean_{n}": rolling_mean(value, series, n) for n in features.windows}
-    stds = {f"rolling_std_{n}": rolling_std(value, series, n) for n in features.windows}
+    # one count per frame guards both its mean and its deviation
+    raw = {}
+    for n in features.windows:
+        frame = series.rowsBetween(-n, -1)
+        raw |= {
+            f"_count_{n}": F.count(value).over(frame),
+            f"_sum_{n}": F.sum(value).over(frame),
+            f"_std_{n}": F.stddev_samp(value).over(frame),
+        }
+    full = {}
+    for n in features.windows:
+        complete = F.col(f"_count_{n}") == n
+        full[f"rolling_mean_{n}"] = F.when(complete, F.col(f"_sum_{n}") / n)
+        full[f"rolling_std_{n}"] = F.when(complete, F.col(f"_std_{n}"))
     variation = safe_ratio(F.col(f"rolling_std_{long}"), F.col(f"rolling_mean_{long}"), features.epsilon)
-    return df.withColumns({**means, **stds}).withColumn(f"rolling_cv_{long}", variation)
+    return df.withColumns(raw).withColumns(full).drop(*raw).withColumn(f"rolling_cv_{long}", variation)
 
 
 def add_trend(
