@@ -21,7 +21,7 @@ from panelcast.operators.direct import (
     at_origins, build_direct, in_training, split_overlap, training_rows, validation_rows,
 )
 from panelcast.operators.features import add_features
-from panelcast.operators.panel import by_series, densify_calendar
+from panelcast.operators.panel import by_series, daily_panel, densify_calendar
 from panelcast.sources.sinks import parameter_key, read_or_build, write_report
 from panelcast.sources.tables import TableSet
 
@@ -74,6 +74,8 @@ class Specs:
     split: SplitSpec = SplitSpec()
     diagnostics: DiagnosticsSpec = DiagnosticsSpec()
     model: models.ModelSpec = models.ModelSpec()
+    # add up rows of the same series and day first; off takes the days of a series to be unique
+    fold: bool = False
     # fill missing days with zeros, so that a row step is a day step; off keeps the rows as given
     densify: bool = False
 
@@ -90,10 +92,14 @@ class RunResult:
 
 def prepared_panel(tables: TableSet, specs: Specs) -> DataFrame:
     """The fact table with one row per series and day, features added, placed by series."""
-    train = tables["train"].select("store_nbr", "family", "date", "sales", "onpromotion")
+    measures = ("sales", "onpromotion")
+    train = tables["train"].select(*specs.panel.keys, "date", *measures)
+    if specs.fold:
+        keys = {k: F.col(k) for k in specs.panel.keys}
+        train = daily_panel(train, keys, F.col("date"), {m: F.sum(m) for m in measures}, specs.panel)
     if specs.densify:
         ends = train.agg(F.min("date"), F.max("date")).first()
-        placed = densify_calendar(train, ends[0], ends[1], ("sales", "onpromotion"), specs.panel)
+        placed = densify_calendar(train, ends[0], ends[1], measures, specs.panel)
     else:
         placed = by_series(train, specs.panel)
     return add_features(placed, specs.features, specs.panel)
@@ -207,7 +213,7 @@ def run(
     artifacts, so a changed input is never answered from old ones.
     """
     split, d = specs.split, specs.diagnostics
-    key = parameter_key(*inputs, specs.panel, specs.features, specs.direct, split, specs.densify)
+    key = parameter_key(*inputs, specs.panel, specs.features, specs.direct, split, specs.fold, specs.densify)
 
     # features and horizons are computed once, for the training period and the origins together
     wanted = in_training(split, specs.panel) | at_origins(split.validation_origins, specs.panel)

@@ -88,3 +88,12 @@ def test_densified_run_equals_dense_input(spark, csv_folder):
     assert dense.count() == filled.count()
     day = filled.where("date = '2016-05-05'").select("sales").distinct().collect()
     assert [r.sales for r in day] == [0.0]
+
+
+def test_folded_run_adds_up_rows_of_a_day(spark, csv_folder):
+    tables = read_tables(spark, csv_folder)
+    twice = dict(tables, train=tables["train"].union(tables["train"]))
+    folded = pipeline.prepared_panel(twice, pipeline.Specs(fold=True))
+    assert folded.count() == tables["train"].count()
+    sums = [t.selectExpr("sum(sales)").first()[0] for t in (folded, twice["train"])]
+    assert sums[0] == pytest.approx(sums[1])
