@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import hashlib
 import json
-import tempfile
 import uuid
 from collections.abc import Callable, Mapping, Sequence
 
@@ -74,37 +73,30 @@ def read_or_build(
     return spark.read.parquet(target)
 
 
-_local_folders: dict[str, tempfile.TemporaryDirectory] = {}
+def shared_folder(spark: SparkSession) -> str:
+    """The folder for intermediate tables that every executor sees.
 
-
-def shared_folder(spark: SparkSession) -> str | None:
-    """The cluster's folder for intermediate tables: the session's ``spark.checkpoint.dir``.
-
-    Where it is unset a local session gets a folder of its own; a cluster gets none, because
-    a folder of one machine is not visible to the others.
+    It is the session's ``spark.checkpoint.dir``; a session that sets none (as in tests) uses a
+    folder of its own below the warehouse, which Spark's own tables share in the same way.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
-        return None
-    app = spark.conf.get("spark.app.id")
-    if app not in _local_folders:
-        _local_folders[app] = tempfile.TemporaryDirectory(prefix="panelcast-")
-    return _local_folders[app].name
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_intermediate"
+
+
+def intermediate_path(spark: SparkSession, name: str) -> str:
+    """A new path below the shared folder."""
+    return f"{shared_folder(spark)}/panelcast/{name}-{uuid.uuid4().hex}"
 
 
 def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     """Write a frame that several passes read, and return it as read back.
 
     The passes then prune columns on Parquet instead of recomputing the frame, and losing
-    executors costs no more than a re-read.  Without a shared folder the frame is returned
-    as it is: the results are the same, only recomputed.
+    executors costs no more than a re-read.  The folder's own retention rule removes the files.
     """
     spark = df.sparkSession
-    folder = shared_folder(spark)
-    if folder is None:
-        return df
-    path = f"{folder}/panelcast/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    path = intermediate_path(spark, name)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -20,8 +20,9 @@ def statements():
 
 
 def test_every_checked_query_has_sql(statements):
-    assert set(statements) == set(catalog.CHECKED)
-    assert set(entry.queries()) == set(catalog.CHECKED) | set(catalog.MODELLED)
+    own = {n for n in entry.queries() if not n.startswith("op") and n != "pipeline"}
+    assert own == set(catalog.CHECKED) | set(catalog.MODELLED)
+    assert set(statements) & own == set(catalog.CHECKED)
 
 
 @pytest.mark.parametrize("name", list(catalog.CHECKED))
