@@ -89,6 +89,8 @@ def _slots(targets: DataFrame, chunk: int) -> DataFrame:
     mask = (1 << _POINT_BITS) - 1
     u = F.expr(f"((t % 65536) * {_PHI} + (t DIV 65536 % 65536) * {(_PHI << 16) & mask} + {_PHI // 2}) & {mask}")
     placed = points.select("chunk", "t", F.element_at(F.filter("edges", lambda e: e["high"] > u), 1)["sid"].alias("sid"))
+    # written, so that Spark plans the joins below by the real number of slots, not by that of sources
+    placed = materialize(placed, "mix_slots")
     counts = placed.groupBy("sid", "chunk").agg(F.count("*").alias("n"))
     over_chunks = Window.partitionBy("sid").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("sid", "chunk", F.coalesce(F.sum("n").over(over_chunks), F.lit(0)).alias("offset"))
@@ -130,6 +132,7 @@ def mix(
             F.expr("k * source_size DIV blocks").alias("first"), F.expr("(k + 1) * source_size DIV blocks").alias("last"),
         )
     )
+    schedule = materialize(schedule, "mix_schedule")
     # a block's number of uses, then the documents that overlap it
     uses = schedule.groupBy("sid", "k").agg(F.count("*").alias("uses"))
     # eqNullSafe keeps the null source; one row per source, a size that Spark checks before it broadcasts
