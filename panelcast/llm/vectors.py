@@ -122,7 +122,8 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.95, home: int = HOME,
     n, width = facts[0], facts[1] or 1
     radius = float(np.sqrt(2.0 - 2.0 * threshold))
     if n:
-        linked = _links(points, n, width, radius, threshold, home, members, pool)
+        # read twice, for counts and for components
+        linked = materialize(_links(points, n, width, radius, threshold, home, members, pool), "vector_links")
     else:
         linked = vectors.sparkSession.createDataFrame([], "point long, other long, n long")
     counts = linked.where("n > 0").groupBy("point").agg(F.sum("n").alias("links"))
