@@ -83,7 +83,9 @@ def _slots(targets: DataFrame, chunk: int) -> DataFrame:
     found = edges.agg(F.array_sort(F.collect_list(F.struct(F.col("high").cast("long").alias("high"), "sid"))).alias("edges"))
     n = F.round(shares.agg(F.sum("need")).scalar())
     first = found.withColumn("n", F.coalesce(n, F.lit(0)).cast("long"))
-    chunks = first.withColumn("chunk", F.explode(F.expr(f"sequence(0L, greatest(n - 1, 0L) DIV {chunk})"))).repartition("chunk")
+    # a given number of partitions: by bytes the chunk numbers are nothing, but each makes many slots
+    parts = int(targets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    chunks = first.withColumn("chunk", F.explode(F.expr(f"sequence(0L, greatest(n - 1, 0L) DIV {chunk})"))).repartition(parts, "chunk")
     points = chunks.withColumn("t", F.explode(F.expr(f"sequence(chunk * {chunk}, least((chunk + 1) * {chunk}, n) - 1)"))).where("t >= 0 AND t < n")
     # t * phi modulo 2^32 in two halves of t, so that no product overflows
     mask = (1 << _POINT_BITS) - 1
