@@ -12,7 +12,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelcast.functions.columns import contains_text
-from panelcast.functions.joins import broadcast_if_small
 
 # Texts in a holiday's description that mark a known event.
 EVENT_TEXTS = {
@@ -29,8 +28,8 @@ def store_attributes(stores: DataFrame) -> DataFrame:
 
 
 def add_store_attributes(df: DataFrame, stores: DataFrame) -> DataFrame:
-    """Left join of the store attributes on ``store_nbr``."""
-    return df.join(broadcast_if_small(store_attributes(stores)), "store_nbr", "left")
+    """Left join of the store attributes on ``store_nbr``; the run-time size of the stores decides how."""
+    return df.join(store_attributes(stores), "store_nbr", "left")
 
 
 def _observed(holidays: DataFrame, locale: str) -> DataFrame:

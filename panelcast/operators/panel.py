@@ -60,7 +60,7 @@ def densify_calendar(
 
     Each row is stretched up to the day before the next one, so the calendar is neither
     crossed with the series nor joined to them: one shuffle by series, which the feature
-    windows then reuse.  Columns outside ``zero_columns`` are null on added days.
+    windows then reuse.  Two rows of one series and day are an error: fold them first.  Columns outside ``zero_columns`` are null on added days.
     """
     day, series = F.col(spec.date), series_window(spec)
     first = F.lag(day).over(series).isNull()
@@ -71,6 +71,9 @@ def densify_calendar(
             "_to": F.coalesce(F.date_sub(F.lead(day).over(series), 1), F.lit(end)),
         }
     )
+    # a sequence would count backwards between two rows of one day
+    repeated = F.raise_error(F.concat(F.lit("a series has several rows for "), day.cast("string"))).cast("date")
+    reach = reach.withColumn("_to", F.when(F.col("_to") < F.col("_from"), repeated).otherwise(F.col("_to")))
     days = reach.withColumn("_day", F.explode(F.sequence("_from", "_to")))
     real = F.col("_day") == day
 

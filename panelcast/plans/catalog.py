@@ -84,8 +84,7 @@ def total_nulls(spark, folder):
 
 
 def duplicate_rows(spark, folder):
-    lines = w.table(spark, folder, "lineitem")
-    return profile.duplicate_rows(lines.select("l_suppkey", "l_returnflag", "l_shipdate", "l_quantity"))
+    return profile.duplicate_rows(w.table(spark, folder, "lineitem"))
 
 
 def sales_summary(spark, folder):
@@ -129,8 +128,9 @@ def year_profile(spark, folder):
 
 
 def year_columns(spark, folder):
-    years = [1999, 2000, 2001]
-    wide = eda.year_columns(_daily(spark, folder), years)
+    daily = materialize(_daily(spark, folder), "daily")
+    years = [r.year for r in daily.select(F.year("date").alias("year")).distinct().orderBy("year").collect()]
+    wide = eda.year_columns(daily, years)
     return wide.withColumnsRenamed({str(y): f"y{y}" for y in years})
 
 
@@ -308,7 +308,7 @@ def gbt_importance(spark, folder):
 
 def shapley_importance(spark, folder):
     fitted, validation = _fitted(spark, folder)
-    values = explain.shapley_values(fitted, validation, sample_size=200, permutations=4)
+    values = explain.shapley_values(fitted, validation, sample_size=D.sample_size, permutations=4)
     return explain.global_attribution(values)
 
 
@@ -328,6 +328,7 @@ CHECKED: dict[str, Query] = {
     "sales_histogram": sales_histogram,
     "sales_boxplot": sales_boxplot,
     "panel": w.panel,
+    "panel_total": lambda s, f: w.panel(s, f).agg(F.sum("sales").alias("sales")),
     "daily_total": _daily,
     "daily_span": daily_span,
     "year_profile": year_profile,
@@ -399,13 +400,15 @@ CHECKED: dict[str, Query] = {
     "eval_overall": _on_scored(evaluation.overall),
     "eval_horizon_average": lambda s, f: evaluation.horizon_average(evaluation.by_origin_and_horizon(w.scored(s, f))),
     "eval_slices": eval_slices,
+    "category_domains": lambda s, f: model.category_domains(w.training_table(s, f)),
+    "target_encoding": lambda s, f: model.mean_target_encoding(w.training_table(s, f), "store_nbr"),
+    "gbt_completeness": gbt_completeness,
     "sample_fixed": _on_scored(explain.fixed_sample, D.sample_size, D.seed),
 }
 
 # fitted models have no SQL twin
 MODELLED: dict[str, Query] = {
     "gbt_predictions": gbt_predictions,
-    "gbt_completeness": gbt_completeness,
     "gbt_importance": gbt_importance,
     "shapley_importance": shapley_importance,
 }

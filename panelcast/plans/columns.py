@@ -35,6 +35,10 @@ OUTPUTS: dict[str, str] = {
     "null_audit": "column_name:s nulls:i",
     "total_nulls": "total_nulls:i",
     "duplicate_rows": "duplicate_rows:i",
+    "panel_total": "sales:d",
+    "category_domains": "feature:s levels:i",
+    "target_encoding": "store_nbr:i store_nbr_mean:d",
+    "gbt_completeness": "scored_rows:i missing:i input_rows:i complete:i",
     "sales_summary": _SUMMARY,
     "price_summary": _SUMMARY,
     "zero_negative_share": "rows:i zeros:i zero_pct:d negatives:i",
@@ -45,7 +49,7 @@ OUTPUTS: dict[str, str] = {
     "daily_total": "date:t sales:d",
     "daily_span": "first_day:t last_day:t days:i",
     "year_profile": "year:i day_of_year:i sales:d",
-    "year_columns": "day_of_year:i y1999:d y2000:d y2001:d",
+    "year_columns": "day_of_year:i y1995:d y1996:d y1997:d y1998:d y1999:d y2000:d y2001:d",
     "monthly_seasonality": "month:i mean_sales:d",
     "weekly_seasonality": "weekday:i mean_sales:d",
     "transactions_by_day": "date:t store_nbr:i transactions:i",

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelcast.config import DiagnosticsSpec, DirectSpec, FeatureSpec, PanelSpec, RunConfig, SplitSpec
-from panelcast.operators import baselines, confidence, eda, enrich, errors, evaluation, explain, severe, signal
+from panelcast.operators import baselines, confidence, eda, enrich, errors, evaluation, explain, profile, severe, signal
 from panelcast.operators import model as models
 from panelcast.operators import tail as tails
 from panelcast.operators.direct import (
@@ -90,8 +90,8 @@ class RunResult:
     reports: dict[str, DataFrame] = field(default_factory=dict)
 
 
-def prepared_panel(tables: TableSet, specs: Specs) -> DataFrame:
-    """The fact table with one row per series and day, features added, placed by series."""
+def placed_panel(tables: TableSet, specs: Specs) -> DataFrame:
+    """The fact table with one row per series and day, placed by series: what baselines and model both see."""
     measures = ("sales", "onpromotion")
     train = tables["train"].select(*specs.panel.keys, "date", *measures)
     if specs.fold:
@@ -99,10 +99,13 @@ def prepared_panel(tables: TableSet, specs: Specs) -> DataFrame:
         train = daily_panel(train, keys, F.col("date"), {m: F.sum(m) for m in measures}, specs.panel)
     if specs.densify:
         ends = train.agg(F.min("date"), F.max("date")).first()
-        placed = densify_calendar(train, ends[0], ends[1], measures, specs.panel)
-    else:
-        placed = by_series(train, specs.panel)
-    return add_features(placed, specs.features, specs.panel)
+        return densify_calendar(train, ends[0], ends[1], measures, specs.panel)
+    return by_series(train, specs.panel)
+
+
+def prepared_panel(tables: TableSet, specs: Specs) -> DataFrame:
+    """The placed panel with its features."""
+    return add_features(placed_panel(tables, specs), specs.features, specs.panel)
 
 
 def enriched_panel(tables: TableSet) -> DataFrame:
@@ -126,7 +129,7 @@ def baseline_reports(tables: TableSet, specs: Specs, origin_rows: DataFrame) ->
     """Scores of persistence and weekly seasonal naive on the main origins."""
     origins = specs.split.baseline_origins
     at_main = origin_rows.where(at_origins(origins, specs.panel))
-    seasonal = baselines.weekly_seasonal_naive(tables["train"], origins, specs.direct, specs.panel)
+    seasonal = baselines.weekly_seasonal_naive(placed_panel(tables, specs), origins, specs.direct, specs.panel)
     return {
         "baseline_persistence": baselines.score_cells(baselines.persistence_forecast(at_main), "date"),
         "baseline_weekly": baselines.score_cells(seasonal),
@@ -137,6 +140,7 @@ def exploration_reports(tables: TableSet) -> dict[str, DataFrame]:
     daily = eda.daily_total(tables["train"])
     return {
         "daily_total": daily,
+        "flag_audit": profile.flag_audit(enriched_panel(tables), enrich.CALENDAR_FLAGS),
         "monthly_seasonality": eda.monthly_seasonality(daily),
         "weekly_seasonality": eda.weekly_seasonality(daily),
     }
@@ -192,7 +196,7 @@ def fit_or_load(path: str, training: DataFrame, validation: DataFrame, spec: mod
     """Reuse the model saved under ``path``, else fit and save it."""
     try:
         return models.FittedModel.load(path)
-    except (AnalysisException, IndexError):  # no model, or one whose parameters were never written
+    except (AnalysisException, models.IncompleteModel):
         fitted = models.fit(training, validation, spec)
         fitted.save(path)
         return fitted

@@ -19,8 +19,6 @@ from panelcast.operators.panel import daily_panel, densify_calendar
 from panelcast.operators.tail import tail_rows
 from panelcast.sources.sinks import materialize
 
-START, END = dt.date(1999, 1, 1), dt.date(2001, 8, 1)
-
 SPLIT = SplitSpec(
     split_date=dt.date(2001, 6, 1),
     history_years=1,
@@ -64,13 +62,8 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 def facts(spark: SparkSession, folder: str) -> DataFrame:
     """One row per series and day with shipments, before the calendar is filled."""
-    # a plain comparison on the stored column, so that the range reaches the Parquet scan
-    shipped = table(spark, folder, "lineitem").where(
-        f"l_shipdate >= TIMESTAMP_NTZ'{START} 00:00:00' "
-        f"AND l_shipdate < TIMESTAMP_NTZ'{END + dt.timedelta(days=1)} 00:00:00'"
-    )
     return daily_panel(
-        shipped,
+        table(spark, folder, "lineitem"),
         keys={"store_nbr": F.col("l_suppkey"), "family": F.col("l_returnflag")},
         date=F.col("l_shipdate").cast("date"),
         measures={"sales": F.sum("l_quantity"), "onpromotion": F.count_if(F.col("l_discount") >= 0.05)},
@@ -78,8 +71,12 @@ def facts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def panel(spark: SparkSession, folder: str) -> DataFrame:
-    """The dense panel: store_nbr, family, date, sales, onpromotion."""
-    return densify_calendar(facts(spark, folder), START, END, zero_columns=("sales", "onpromotion"))
+    """The dense panel from the first to the last ship day: store_nbr, family, date, sales, onpromotion."""
+    shipped = table(spark, folder, "lineitem")
+    # two numbers, read from the column's statistics or its one scan
+    day = F.col("l_shipdate").cast("date")
+    ends = shipped.agg(F.min(day).alias("first"), F.max(day).alias("last")).first()
+    return densify_calendar(facts(spark, folder), ends.first, ends.last, zero_columns=("sales", "onpromotion"))
 
 
 def stores(spark: SparkSession, folder: str) -> DataFrame:

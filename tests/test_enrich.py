@@ -54,16 +54,6 @@ def test_store_join_keeps_unknown_stores(spark):
     assert rows[1].store_type == "A" and rows[1].store_cluster == 3 and rows[2].store_type is None
 
 
-def test_broadcast_needs_a_small_side(spark):
-    from panelcast.functions import broadcast_if_small
-
-    side = spark.range(100)
-    plan = lambda rows: spark.range(1000).join(broadcast_if_small(side, rows), "id").explain
-    assert broadcast_if_small(side, 99) is side
-    assert broadcast_if_small(side, 100) is not side
-    assert plan(99) and plan(100)
-
-
 def test_weekday_starts_on_monday(spark):
     row = enrich.add_calendar(spark.sql("SELECT DATE '2017-06-30' AS date")).first()
     assert (row.day_of_week, row.month) == (4, 6)
