@@ -73,23 +73,24 @@ def features(text: str, dimensions: int = DIMENSIONS) -> np.ndarray:
 
 
 def fit_machine(x: np.ndarray, sign: np.ndarray, cost: float = 10.0, rounds: int = 60) -> np.ndarray:
-    """Weights (the last is the offset) of a linear machine with squared hinge loss.
+    """Weights of a linear machine with squared hinge loss; the last column of ``x`` is 1, for the offset.
 
     Newton steps on the primal: each solves a ridge system over the rows inside the margin.  The
     classes weigh the same, however many rows they have.
     """
-    x = np.hstack([x, np.ones((len(x), 1))])
     weight = cost * np.where(sign > 0, len(x) / (2 * max(1, (sign > 0).sum())), len(x) / (2 * max(1, (sign < 0).sum())))
     w, inside = np.zeros(x.shape[1]), None
     for _ in range(rounds):
-        now = sign * (x @ w) < 1
+        now = sign * (x @ w.astype(x.dtype)) < 1
         if inside is not None and np.array_equal(now, inside):
             break
         inside = now
-        a, c = x[inside], weight[inside]
-        # the dual form: rows inside the margin are fewer than dimensions
-        gram = a @ a.T + np.diag(1.0 / c)
-        w = a.T @ np.linalg.solve(gram, sign[inside]) if len(a) else w
+        if inside.any():
+            # the dual form: rows inside the margin are fewer than dimensions
+            a = x[inside]
+            gram = (a @ a.T).astype(np.float64)
+            gram[np.diag_indices_from(gram)] += 1.0 / weight[inside]
+            w = (np.linalg.solve(gram, sign[inside]).astype(x.dtype) @ a).astype(np.float64)
     return w
 
 
@@ -146,12 +147,22 @@ def fit(
     def vector(texts: list) -> list[list]:
         return [[features(t, dimensions).astype(np.float32).tobytes() if has_letter(t) else None for t in texts]]
 
-    sample = map_texts(drawn, "text", ["lang"], "vector binary", vector).where("vector IS NOT NULL")
-    rows = sorted((r.lang, bytes(r.vector)) for r in sample.toLocalIterator())
-    if not rows:
+    drawn = drawn.withColumn("drawn", F.xxhash64(key))
+    sample = map_texts(drawn, "text", ["lang", "drawn"], "vector binary", vector).where("vector IS NOT NULL")
+    # one copy of the sample, filled as it arrives and then ordered by the draw
+    keys, x = [], np.ones((64, dimensions + 1), np.float32)
+    for r in sample.toLocalIterator():
+        if len(keys) == len(x):
+            x.resize((2 * len(x), dimensions + 1), refcheck=False)
+        x[len(keys), :-1] = np.frombuffer(r.vector, np.float32)
+        keys.append((r.lang, r.drawn))
+    if not keys:
         return Model({}, np.zeros((0, dimensions + 1)), {}, dimensions)
-    lang = np.array([r[0] for r in rows])
-    x = np.stack([np.frombuffer(r[1], np.float32) for r in rows]).astype(float)
+    x.resize((len(keys), dimensions + 1), refcheck=False)
+    x[:, -1] = 1.0
+    order = sorted(range(len(keys)), key=keys.__getitem__)
+    x[:] = x[order]
+    lang = np.array([keys[i][0] for i in order])
     families: dict[str, list[str]] = {}
     for name in sorted(set(lang)):
         families.setdefault(family(name), []).append(str(name))
