@@ -6,7 +6,8 @@ is cut into blocks of equal length.  Slot ``t`` of the mix gets the golden-ratio
 source are ranked: the n-th takes the source's n-th block, going round again after the last.
 Every stretch of the schedule thus holds each source in its share, up to a few blocks.
 
-All ranks and running sums go through buckets of bounded size, so no source is ordered in one
+Tables that grow with the data are joined by sorting, as told: numbers in order compress so well
+that the size of their files says little about a broadcast.  All ranks and running sums go through buckets of bounded size, so no source is ordered in one
 task, however much of the data it holds.  Only one row per source is ever gathered.
 """
 
@@ -66,7 +67,7 @@ def _line(rows: DataFrame, buckets: int) -> DataFrame:
     # equal doc_ids are ordered by size: rows that tie on both are interchangeable
     within = Window.partitionBy("source", "bucket").orderBy("h", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
     inside = hashed.withColumn("inside", F.coalesce(F.sum("size").over(within), F.lit(0)))
-    return inside.join(offsets, F.col("source").eqNullSafe(F.col("s")) & (F.col("bucket") == F.col("b"))).withColumn(
+    return inside.join(offsets.hint("merge"), F.col("source").eqNullSafe(F.col("s")) & (F.col("bucket") == F.col("b"))).withColumn(
         "start", F.col("offset") + F.col("inside")
     ).drop("s", "b", "offset", "inside", "h", "bucket")
 
@@ -97,7 +98,7 @@ def _slots(targets: DataFrame, chunk: int) -> DataFrame:
     over_chunks = Window.partitionBy("sid").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("sid", "chunk", F.coalesce(F.sum("n").over(over_chunks), F.lit(0)).alias("offset"))
     within = Window.partitionBy("chunk", "sid").orderBy("t")
-    ranked = placed.withColumn("inside", F.row_number().over(within) - 1).join(offsets, ["sid", "chunk"])
+    ranked = placed.withColumn("inside", F.row_number().over(within) - 1).join(offsets.hint("merge"), ["sid", "chunk"])
     return ranked.select("sid", "t", (F.col("offset") + F.col("inside")).alias("nth"))
 
 
@@ -154,7 +155,7 @@ def mix(
             ).alias("words"),
         )
     )
-    taken = pieces.join(uses, ["sid", "k"]).groupBy("row").agg(F.sum(F.col("words") * F.col("uses")).alias("taken"))
-    mixed = located.join(taken, "row", "left").withColumn("taken", F.coalesce("taken", F.lit(0)).cast("long"))
+    taken = pieces.join(uses.hint("merge"), ["sid", "k"]).groupBy("row").agg(F.sum(F.col("words") * F.col("uses")).alias("taken"))
+    mixed = located.join(taken.hint("merge"), "row", "left").withColumn("taken", F.coalesce("taken", F.lit(0)).cast("long"))
     columns = ["doc_id", "source", "size", "source_size", "target", "start", "taken"]
     return mixed.select(*columns), schedule.select("t", "source", "round", "first", "last")
