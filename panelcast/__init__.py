@@ -7,4 +7,6 @@ DataFrames or Columns; nothing is collected unless a docstring says so.
 
 from panelcast.config import DiagnosticsSpec, DirectSpec, FeatureSpec, PanelSpec, RunConfig, SplitSpec
 
+__version__ = "0.2.0"
+
 __all__ = ["DiagnosticsSpec", "DirectSpec", "FeatureSpec", "PanelSpec", "RunConfig", "SplitSpec"]

@@ -30,7 +30,8 @@ def build_direct(
     are gathered once into an array in day order (one entry per day, so its length is that of
     the calendar), and each origin row looks its values up by position once per horizon.
     Gathering, features and look-up all use the partitioning by series, so none of them adds
-    a shuffle.  A lag shorter than its horizon would look past the origin, so it is null there.
+    a shuffle; with ``target_columns`` the two branches read different columns and each makes its
+    own, so write a panel that is costly to build first.  A lag shorter than its horizon would look past the origin, so it is null there.
 
     ``origins`` is a condition on the origin row, applied before the horizons are stacked.
     ``target_columns`` are read at the target row as ``target_<name>``; ``extra_columns`` are

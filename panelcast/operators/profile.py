@@ -154,8 +154,15 @@ def flag_audit(df: DataFrame, flags: Sequence[str]) -> DataFrame:
     return df.agg(*values).select(F.inline(F.array(*rows)))
 
 
-def set_sizes(sets: Mapping[str, Column], rows: DataFrame) -> DataFrame:
-    """Row count of several subsets of one table in one scan; ``sets`` maps a name to its condition."""
+def set_sizes(sets: Mapping[str, Column], rows: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """Rows and columns of several subsets of one table in one scan; ``sets`` maps a name to its condition.
+
+    ``columns`` are those that the subsets keep, all by default; a name the table lacks fails.
+    """
+    width = len(rows.columns if columns is None else rows.select(*columns).columns)
     counts = rows.agg(*[F.count_if(test).alias(f"_{i}") for i, test in enumerate(sets.values())])
-    listed = [F.struct(F.lit(n).alias("set_name"), F.col(f"_{i}").alias("rows")) for i, n in enumerate(sets)]
+    listed = [
+        F.struct(F.lit(n).alias("set_name"), F.col(f"_{i}").alias("rows"), F.lit(width).alias("columns"))
+        for i, n in enumerate(sets)
+    ]
     return counts.select(F.inline(F.array(*listed)))

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelcast.config import DirectSpec, model_features
+from panelcast.functions.columns import to_number
 from panelcast.operators import (
     baselines, confidence, direct, eda, enrich, errors, evaluation, explain, features, model, profile,
     severe, signal, tail as tails,
@@ -15,6 +16,7 @@ from panelcast.operators import (
 from panelcast.plans import warehouse as w
 from panelcast.plans.columns import OUTPUTS, TABLES, spark_select
 from panelcast.sources.sinks import materialize
+from panelcast.sources.tables import narrow_types, parse_dates
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -70,6 +72,33 @@ def table_shapes(spark, folder):
     return profile.table_shapes({name: w.table(spark, folder, name) for name in TABLES})
 
 
+def parsed_dates(spark, folder):
+    dates = F.date_format("o_orderdate", "yyyy-MM-dd").alias("date")
+    orders = parse_dates({"orders": w.table(spark, folder, "orders").select(dates)})["orders"]
+    return orders.groupBy(F.year("date").alias("year")).agg(
+        F.first(F.typeof("date")).alias("data_type"), F.count("date").alias("rows"),
+        F.min("date").alias("first_day"), F.max("date").alias("last_day"),
+    )
+
+
+def narrowed_panel(spark, folder):
+    # store numbers grow with the data, and one that does not fit is null
+    narrow = narrow_types(w.panel(spark, folder), strict=False)
+    return narrow.groupBy("family").agg(
+        F.count("store_nbr").alias("stores"), F.sum("onpromotion").alias("onpromotion"),
+        F.first(F.typeof("store_nbr")).alias("store_type"), F.first(F.typeof("onpromotion")).alias("onpromotion_type"),
+    )
+
+
+def numeric_readings(spark, folder):
+    orders = w.table(spark, folder, "orders")
+    rank, price = F.substring("o_orderpriority", 1, 1), F.col("o_totalprice").cast("string")
+    return orders.groupBy("o_orderpriority").agg(
+        F.count(to_number(F.col("o_orderpriority"))).alias("whole"), F.sum(to_number(rank)).alias("ranks"),
+        F.sum(to_number(price)).alias("price"),
+    )
+
+
 def schema_profile(spark, folder):
     return profile.schema_profile(w.table(spark, folder, "orders"))
 
@@ -87,8 +116,13 @@ def duplicate_rows(spark, folder):
     return profile.duplicate_rows(w.table(spark, folder, "lineitem"))
 
 
+def _sales(spark: SparkSession, folder: str) -> DataFrame:
+    """The panel's sales as a written column: exact quantiles read them in several passes."""
+    return materialize(w.panel(spark, folder).select("sales"), "sales")
+
+
 def sales_summary(spark, folder):
-    return profile.numeric_summary(w.panel(spark, folder), "sales")
+    return profile.numeric_summary(_sales(spark, folder), "sales")
 
 
 def price_summary(spark, folder):
@@ -100,15 +134,15 @@ def zero_negative_share(spark, folder):
 
 
 def sales_median_max(spark, folder):
-    return profile.median_and_max(w.panel(spark, folder), "sales")
+    return profile.median_and_max(_sales(spark, folder), "sales")
 
 
 def sales_histogram(spark, folder):
-    return profile.histogram(w.panel(spark, folder), "sales")
+    return profile.histogram(_sales(spark, folder), "sales")
 
 
 def sales_boxplot(spark, folder):
-    return profile.boxplot(w.panel(spark, folder), "sales")
+    return profile.boxplot(_sales(spark, folder), "sales")
 
 
 # -- exploration -------------------------------------------------------------------------------
@@ -212,7 +246,7 @@ def set_sizes(spark, folder):
         "validation": valid,
         "tail": valid & (F.col("target") > TAIL_THRESHOLD),
     }
-    return profile.set_sizes(sets, w.direct(spark, folder))
+    return profile.set_sizes(sets, w.direct(spark, folder), MODEL_FEATURES)
 
 
 def overlap_audit(spark, folder):
@@ -269,9 +303,14 @@ def _on_scored_table(operator: Callable[..., DataFrame], *args) -> Query:
 
 
 def signal_categorical(spark, folder):
-    training = direct.training_rows(w.direct(spark, folder, direct.in_training(w.SPLIT)), w.SPLIT)
-    domain = signal.category_domain(training, CATEGORICAL)
-    return signal.categorical_signal(w.tail(spark, folder), CATEGORICAL, domain, w.DIAGNOSTICS)
+    # features are computed once, for the training period and the origins together
+    wanted = direct.in_training(w.SPLIT) | direct.at_origins(w.SPLIT.validation_origins)
+    columns = dict.fromkeys(["date", "target", "target_date", "rolling_mean_28", "lag_28", *CATEGORICAL])
+    rows = materialize(w.direct(spark, folder, wanted).select(*columns), "signal_rows")
+    domain = signal.category_domain(direct.training_rows(rows, w.SPLIT), CATEGORICAL)
+    at_origins = rows.where(direct.at_origins(w.SPLIT.validation_origins))
+    scored = tails.tail_rows(w.stand_in_forecast(at_origins), TAIL_THRESHOLD)
+    return signal.categorical_signal(scored, CATEGORICAL, domain, w.DIAGNOSTICS)
 
 
 def eval_slices(spark, folder):
@@ -317,6 +356,9 @@ D = w.DIAGNOSTICS
 # queries compared with SQL
 CHECKED: dict[str, Query] = {
     "table_shapes": table_shapes,
+    "parsed_dates": parsed_dates,
+    "narrowed_panel": narrowed_panel,
+    "numeric_readings": numeric_readings,
     "schema_profile": schema_profile,
     "null_audit": null_audit,
     "total_nulls": total_nulls,

@@ -35,6 +35,9 @@ OUTPUTS: dict[str, str] = {
     "null_audit": "column_name:s nulls:i",
     "total_nulls": "total_nulls:i",
     "duplicate_rows": "duplicate_rows:i",
+    "parsed_dates": "year:i data_type:s rows:i first_day:t last_day:t",
+    "narrowed_panel": "family:s stores:i onpromotion:i store_type:s onpromotion_type:s",
+    "numeric_readings": "o_orderpriority:s whole:i ranks:d price:f",
     "panel_total": "sales:d",
     "category_domains": "feature:s levels:i",
     "target_encoding": "store_nbr:i store_nbr_mean:d",
@@ -75,7 +78,7 @@ OUTPUTS: dict[str, str] = {
     "train_purged_counts": "horizon:i rows:i target:d first_origin:t last_origin:t",
     "valid_slice": _DIRECT,
     "tail_slices": "tail_train_rows:i tail_valid_rows:i",
-    "set_sizes": "set_name:s rows:i",
+    "set_sizes": "set_name:s rows:i columns:i",
     "overlap_audit": "train_rows:i validation_rows:i shared_rows:i train_targets_after_split:i",
     "naive_forecast": f"{_ROW} target:d prediction:d",
     "naive_scores": f"origin:t horizon:i {_METRICS}",
@@ -85,7 +88,7 @@ OUTPUTS: dict[str, str] = {
     "model_comparison_common": "model:s average_wape:d cells:i",
     "confidence_thresholds": "low:d high:d",
     "confidence_labels": f"{_ROW} prediction_confidence:s abs_error:d",
-    "confidence_validation": f"confidence_tier:s tier_order:i {_METRICS} severe_rate_pct:d",
+    "confidence_validation": f"confidence_tier:s tier_order:i {_METRICS} severe_rate_pct:d tail_volume_pct:d",
     "tail_rows": f"{_ROW} target:d prediction:d error:d absolute_error:d prediction_ratio:d",
     "tail_overall": f"{_METRICS} mean_error:d median_error:d",
     "tail_by_horizon": f"horizon:i {_TAIL_METRICS}",
@@ -128,7 +131,7 @@ OUTPUTS: dict[str, str] = {
     "sample_fixed": f"{_ROW} target:d prediction:d",
 }
 
-_PLACES = {"d": 6, "r": 9, "e": 2}
+_PLACES = {"d": 6, "r": 9, "e": 2, "f": 1}
 
 
 def _pairs(spec: str) -> list[tuple[str, str]]:

@@ -348,6 +348,15 @@ fence AS (SELECT *, q1 - 1.5 * (q3 - q1) AS low, q3 + 1.5 * (q3 - q1) AS high FR
     )
     # exploration
     q["panel"] = _with(BASE, "SELECT * FROM panel")
+    q["parsed_dates"] = """SELECT YEAR(o_orderdate) AS year, 'date' AS data_type, COUNT(*) AS rows,
+  MIN(CAST(o_orderdate AS DATE)) AS first_day, MAX(CAST(o_orderdate AS DATE)) AS last_day FROM orders GROUP BY 1"""
+    q["narrowed_panel"] = _with(
+        BASE,
+        """SELECT family, COUNT(TRY_CAST(store_nbr AS SMALLINT)) AS stores, SUM(TRY_CAST(onpromotion AS SMALLINT)) AS onpromotion,
+  'smallint' AS store_type, 'smallint' AS onpromotion_type FROM panel GROUP BY 1""",
+    )
+    q["numeric_readings"] = """SELECT o_orderpriority, COUNT(TRY_CAST(o_orderpriority AS DOUBLE)) AS whole,
+  SUM(TRY_CAST(SUBSTR(o_orderpriority, 1, 1) AS DOUBLE)) AS ranks, SUM(o_totalprice) AS price FROM orders GROUP BY 1"""
     q["panel_total"] = "SELECT SUM(l_quantity) AS sales FROM lineitem"
     q["daily_total"] = _with([*BASE, DAILY], "SELECT * FROM daily")
     q["daily_span"] = _with(
@@ -454,10 +463,10 @@ FROM d WHERE target > {d.tail_threshold}""",
     train = f"date BETWEEN DATE '{SPLIT.train_start}' AND DATE '{SPLIT.train_end}'"
     q["set_sizes"] = _with(
         EVERY,
-        f"""SELECT 'direct' AS set_name, COUNT(*) AS rows FROM d
-UNION ALL SELECT 'train', COUNT(*) FROM d WHERE {train}
-UNION ALL SELECT 'validation', COUNT(*) FROM d WHERE date IN ({ORIGINS})
-UNION ALL SELECT 'tail', COUNT(*) FROM d WHERE date IN ({ORIGINS}) AND target > {d.tail_threshold}""",
+        f"""SELECT 'direct' AS set_name, COUNT(*) AS rows, {len(model_features())} AS columns FROM d
+UNION ALL SELECT 'train', COUNT(*), {len(model_features())} FROM d WHERE {train}
+UNION ALL SELECT 'validation', COUNT(*), {len(model_features())} FROM d WHERE date IN ({ORIGINS})
+UNION ALL SELECT 'tail', COUNT(*), {len(model_features())} FROM d WHERE date IN ({ORIGINS}) AND target > {d.tail_threshold}""",
     )
     q["overlap_audit"] = _with(
         EVERY,
@@ -503,7 +512,9 @@ UNION ALL SELECT 'tail', COUNT(*) FROM d WHERE date IN ({ORIGINS}) AND target >
         f"""SELECT prediction_confidence AS confidence_tier,
   CASE prediction_confidence WHEN 'high' THEN 0 WHEN 'medium' THEN 1 ELSE 2 END AS tier_order, {metrics("100")},
   COUNT(*) FILTER (WHERE prediction < 0.5 * target AND target > {d.tail_threshold}) * 100.0
-    / GREATEST(COUNT(*) FILTER (WHERE target > {d.tail_threshold}), 1) AS severe_rate_pct
+    / GREATEST(COUNT(*) FILTER (WHERE target > {d.tail_threshold}), 1) AS severe_rate_pct,
+  100.0 * COALESCE(SUM(target) FILTER (WHERE target > {d.tail_threshold}), 0)
+    / NULLIF(SUM(SUM(target) FILTER (WHERE target > {d.tail_threshold})) OVER (), 0) AS tail_volume_pct
 FROM labelled WHERE prediction_confidence <> 'unknown' GROUP BY 1, 2""",
     )
     # tail

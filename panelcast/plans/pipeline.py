@@ -13,6 +13,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from panelcast import __version__
 from panelcast.config import DiagnosticsSpec, DirectSpec, FeatureSpec, PanelSpec, RunConfig, SplitSpec
 from panelcast.operators import baselines, confidence, eda, enrich, errors, evaluation, explain, profile, severe, signal
 from panelcast.operators import model as models
@@ -22,7 +23,7 @@ from panelcast.operators.direct import (
 )
 from panelcast.operators.features import add_features
 from panelcast.operators.panel import by_series, daily_panel, densify_calendar
-from panelcast.sources.sinks import parameter_key, read_or_build, write_report
+from panelcast.sources.sinks import input_state, materialize, parameter_key, read_or_build, write_report
 from panelcast.sources.tables import TableSet
 
 # Decimals of the report columns.
@@ -103,9 +104,9 @@ def placed_panel(tables: TableSet, specs: Specs) -> DataFrame:
     return by_series(train, specs.panel)
 
 
-def prepared_panel(tables: TableSet, specs: Specs) -> DataFrame:
-    """The placed panel with its features."""
-    return add_features(placed_panel(tables, specs), specs.features, specs.panel)
+def prepared_panel(tables: TableSet, specs: Specs, placed: DataFrame | None = None) -> DataFrame:
+    """The placed panel, built or as given, with its features."""
+    return add_features(placed_panel(tables, specs) if placed is None else placed, specs.features, specs.panel)
 
 
 def enriched_panel(tables: TableSet) -> DataFrame:
@@ -113,9 +114,9 @@ def enriched_panel(tables: TableSet) -> DataFrame:
     return enrich.enrich(tables["train"], tables["stores"], tables["holidays"])
 
 
-def direct_rows(tables: TableSet, specs: Specs, origins) -> DataFrame:
+def direct_rows(tables: TableSet, specs: Specs, origins, placed: DataFrame | None = None) -> DataFrame:
     return build_direct(
-        prepared_panel(tables, specs),
+        prepared_panel(tables, specs, placed),
         specs.direct,
         specs.features,
         specs.panel,
@@ -125,11 +126,11 @@ def direct_rows(tables: TableSet, specs: Specs, origins) -> DataFrame:
     )
 
 
-def baseline_reports(tables: TableSet, specs: Specs, origin_rows: DataFrame) -> dict[str, DataFrame]:
-    """Scores of persistence and weekly seasonal naive on the main origins."""
+def baseline_reports(placed: DataFrame, specs: Specs, origin_rows: DataFrame) -> dict[str, DataFrame]:
+    """Scores of persistence and weekly seasonal naive on the main origins of the placed panel."""
     origins = specs.split.baseline_origins
     at_main = origin_rows.where(at_origins(origins, specs.panel))
-    seasonal = baselines.weekly_seasonal_naive(placed_panel(tables, specs), origins, specs.direct, specs.panel)
+    seasonal = baselines.weekly_seasonal_naive(placed, origins, specs.direct, specs.panel)
     return {
         "baseline_persistence": baselines.score_cells(baselines.persistence_forecast(at_main), "date"),
         "baseline_weekly": baselines.score_cells(seasonal),
@@ -213,11 +214,17 @@ def run(
 ) -> RunResult:
     """Build or reuse every artifact of a run and return the scored rows and all reports.
 
-    ``inputs`` identifies the input data (paths, versions); with the parameters it keys the
-    artifacts, so a changed input is never answered from old ones.
+    ``inputs`` identifies the input data (paths, versions); with the state of the tables' files,
+    the package's version and the parameters it keys the artifacts, so a changed input is never
+    answered from old ones.
     """
     split, d = specs.split, specs.diagnostics
-    key = parameter_key(*inputs, specs.panel, specs.features, specs.direct, split, specs.fold, specs.densify)
+    origin = (*inputs, input_state(tables), __version__)
+    key = parameter_key(*origin, specs.panel, specs.features, specs.direct, split, specs.fold, specs.densify)
+
+    # folded and filled once, for model and baselines; a table read back has to be placed again
+    written = materialize(placed_panel(tables, specs), "placed")
+    placed = by_series(written, specs.panel)
 
     # features and horizons are computed once, for the training period and the origins together
     wanted = in_training(split, specs.panel) | at_origins(split.validation_origins, specs.panel)
@@ -225,7 +232,7 @@ def run(
         spark,
         config.dataset("direct"),
         key,
-        lambda: direct_rows(tables, specs, wanted),
+        lambda: direct_rows(tables, specs, wanted, placed),
         partition_by=("horizon",),
     )
     training = training_rows(direct, split, specs.panel)
@@ -250,7 +257,7 @@ def run(
     result = RunResult(training, validation, fitted, scored, tail)
     reports = result.reports
     reports |= exploration_reports(tables)
-    reports |= baseline_reports(tables, specs, validation)
+    reports |= baseline_reports(written, specs, validation)
     reports["completeness"] = models.completeness(validation, scored)
     reports["overlap_audit"] = split_overlap(training, validation, split, specs.panel)
     reports |= diagnostic_reports(scored, tail, training, specs)

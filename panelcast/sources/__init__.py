@@ -1,7 +1,9 @@
-from panelcast.sources.sinks import materialize, parameter_key, read_or_build, shared_folder, write_dataset, write_report
+from panelcast.sources.sinks import (
+    input_state, materialize, parameter_key, read_or_build, shared_folder, write_dataset, write_report,
+)
 from panelcast.sources.tables import SCHEMAS, TableSet, narrow_types, parse_dates, read_csv_table, read_tables
 
 __all__ = [
-    "SCHEMAS", "TableSet", "materialize", "narrow_types", "parameter_key", "parse_dates", "read_csv_table",
+    "SCHEMAS", "TableSet", "input_state", "materialize", "narrow_types", "parameter_key", "parse_dates", "read_csv_table",
     "read_or_build", "read_tables", "shared_folder", "write_dataset", "write_report",
 ]

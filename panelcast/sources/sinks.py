@@ -46,6 +46,21 @@ def parameter_key(*parts: object) -> str:
     return hashlib.sha256(json.dumps([repr(p) for p in parts]).encode()).hexdigest()[:16]
 
 
+def input_state(tables: Mapping[str, DataFrame]) -> str:
+    """Hash of path, length and modification time of all files that the tables read.
+
+    The files are listed, not opened.  Tables that no file holds add nothing.
+    """
+    files = {name: sorted(df.inputFiles()) for name, df in tables.items()}
+    state = []
+    for name in sorted(n for n in files if files[n]):
+        # recursive look-up keeps folder names from being read as partition columns
+        listed = tables[name].sparkSession.read.format("binaryFile").option("recursiveFileLookup", True).load(files[name])
+        row = F.xxhash64("path", "length", "modificationTime").cast("decimal(38,0)")
+        state.append((name, *listed.agg(F.count("*"), F.sum(row)).first()))
+    return parameter_key(*state)
+
+
 def _complete(spark: SparkSession, target: str) -> bool:
     # the marker is written after the data, so a job that died half-way leaves none
     try:
@@ -63,8 +78,8 @@ def read_or_build(
 ) -> DataFrame:
     """Read ``path/key`` if a complete copy exists, else build, write and read it back.
 
-    ``key`` names the inputs and parameters (``parameter_key``), so changed code or data is
-    never answered from an old copy.
+    ``key`` names the inputs, their state and the parameters (``parameter_key``, ``input_state``),
+    so changed data is never answered from an old copy.
     """
     target = f"{path.rstrip('/')}/{key}"
     if not _complete(spark, target):

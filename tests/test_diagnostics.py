@@ -132,6 +132,7 @@ def test_confidence_tiers(scored):
     assert {t: r["count"] for t, r in table.items()} == {"high": 3, "medium": 2, "low": 3}
     assert table["high"].severe_rate_pct == pytest.approx(200 / 3)
     assert table["medium"].severe_rate_pct == 0
+    assert sum(r.tail_volume_pct for r in table.values()) == pytest.approx(100)
 
 
 def test_empty_input_gives_empty_tables(nothing):

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from panelcast.config import RunConfig
 from panelcast.sources import (
-    SCHEMAS, materialize, narrow_types, parameter_key, parse_dates, read_csv_table, read_or_build, read_tables,
+    SCHEMAS, input_state, materialize, narrow_types, parameter_key, parse_dates, read_csv_table, read_or_build, read_tables,
     shared_folder, write_dataset, write_report,
 )
 
@@ -85,6 +85,16 @@ def test_read_or_build(spark, tmp_path):
     assert read_or_build(spark, path, "half", build).count() == 30
 
 
+def test_input_state_follows_the_files(spark, tmp_path):
+    path = str(tmp_path / "rows/day=1")
+    state = lambda: input_state({"a": spark.read.parquet(path), "b": spark.range(3)})
+    spark.range(5).write.parquet(path)
+    before = state()
+    assert state() == before != input_state({"b": spark.range(3)})
+    spark.range(5, 9).write.mode("append").parquet(path)
+    assert state() != before
+
+
 def test_materialize_uses_the_shared_folder(spark):
     table = materialize(spark.range(10).withColumn("v", F.col("id") * 2), "numbers")
     assert table.count() == 10
