@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from check_oracle import compare, duck
-from panelcast.llm import decontaminate, language, mixing, queries, sql
+from panelcast.llm import decontaminate, language, mixing, queries, sharding, sql, substrings
+from panelcast.sources.sinks import materialize
 from test_dedup import classes, fingerprint
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -147,3 +148,36 @@ def test_pipeline_stages(spark, docs, tmp_path):
     assert set(ids[3]) <= set(ids[2]) and max(ids[3].count(i) for i in set(ids[3])) <= 2
     assert sorted(ids[4], key=str) == sorted(ids[3], key=str)
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == len(ids[4])
+
+
+def test_pipeline_of_nothing_and_nulls(spark, docs, tmp_path):
+    spark.createDataFrame([], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    nulls = [(None, None, None, None), (1, None, None, None), (None, "", None, None), (2, "only one", "en", None), (2, "only one", "en", None)]
+    nulls += [(i, f"text number {w}", "en", "s") for i, w in enumerate(("three", "four", "five", "six", "seven"), 3)]
+    for rows, left in ((nulls, {2, 3, 4, 5, 6, 7}), ([], set())):
+        now = docs(rows)
+        for name, stage in corpus_pipeline.STAGES[:3]:
+            now = stage(spark, now, str(tmp_path))
+            now = materialize(now, name)
+        assert sorted(r.doc_id for r in now.collect()) == sorted(left)
+        mixed = materialize(corpus_pipeline.mix_sources(spark, now, str(tmp_path)), "mixed")
+        found = [r.doc_id for r in mixed.collect()]
+        assert set(found) <= left and bool(found) == bool(left)
+        assert sorted(r.doc_id for r in corpus_pipeline.shard(spark, mixed, str(tmp_path)).collect()) == sorted(found)
+
+
+def test_whole_long_text_is_read(spark, docs):
+    """A million words, of which only the last matter: nothing is cut off."""
+    tail = " ".join(f"end{i}" for i in range(30))
+    long = " ".join(f"w{i % 9973}x{i // 9973}" for i in range(1_000_000)) + " " + tail
+    rows = docs([(1, tail, "en", "a"), (2, long, "en", "a")])
+    benchmark = spark.createDataFrame([(1, tail)], "item_id long, text string")
+    hit = {r.doc_id: (r.n_words, r.n_hit) for r in decontaminate.contamination(rows, benchmark).collect()}
+    assert hit == {1: (30, 30), 2: (1_000_030, 30)}
+    gone = {r.doc_id: (r.n_words, r.n_removed) for r in substrings.drop_repeated(rows, with_text=False).collect()}
+    assert gone == {1: (30, 0), 2: (1_000_030, 30)}
+    sizes = {r.doc_id: r["size"] for r in mixing.mix(rows)[0].collect()}
+    assert sizes == {1: 30, 2: 1_000_030}
+    assert {r.doc_id: r["size"] for r in sharding.shard_documents(rows).collect()} == {1: len(tail) + 1, 2: len(long) + 1}
+    checksum = {r.doc_id: r.text_crc32 for r in sharding.shard_documents(rows).collect()}
+    assert checksum[2] == zlib.crc32(long.encode())
