@@ -341,6 +341,39 @@ def gbt_completeness(spark, folder):
     return model.completeness(validation, fitted.score(validation))
 
 
+def model_checks(spark, folder):
+    """What must hold of any fitted model.
+
+    Every validation row is scored, with its target; the importances sum to 1; the contributions
+    of a sampled row sum to its prediction less the mean prediction of the background.
+    """
+    fitted, validation = _fitted(spark, folder)
+    permutations = 4
+    values = explain.shapley_values(fitted, validation, D.sample_size, permutations, D.seed)
+    totals = values.groupBy("row_key").agg(F.sum("shapley").alias("total"))
+    key = F.concat_ws("|", *[F.col(k).cast("string") for k in tails.ROW_KEYS]).alias("row_key")
+    sampled = fitted.score(explain.fixed_sample(validation, D.sample_size, D.seed)).select(key, "prediction")
+    background = fitted.score(explain.fixed_sample(validation, permutations, D.seed + 1)).agg(F.avg("prediction"))
+    gaps = sampled.join(totals, "row_key", "left").withColumn("base", background.scalar())
+    gap = F.abs(F.col("total") - F.col("prediction") + F.col("base"))
+    off = gaps.select(F.coalesce(gap > 1e-6, F.lit(True)).alias("off"))
+    attribution = off.agg(
+        F.lit("attribution").alias("check_name"), F.count("*").alias("checked"), F.count_if("off").alias("violations"),
+        F.lit(None).cast("double").alias("target"),
+    )
+    scored = fitted.score(validation).agg(
+        F.lit("scored").alias("check_name"), F.count_distinct(*tails.ROW_KEYS).alias("checked"),
+        F.count_if(F.col("prediction").isNull()).alias("violations"), F.sum("target").alias("target"),
+    )
+    shares = explain.importance(fitted).agg(
+        F.lit("importance").alias("check_name"), F.count("*").alias("checked"),
+        F.count_if(F.col("importance") < 0).alias("negative"), F.sum("importance").alias("total"),
+    )
+    wrong = F.col("negative") + (F.abs(F.col("total") - 1) > 1e-9).cast("long")
+    shares = shares.select("check_name", "checked", wrong.alias("violations"))
+    return attribution.unionByName(scored).unionByName(shares, allowMissingColumns=True)
+
+
 def gbt_importance(spark, folder):
     return explain.importance(_fitted(spark, folder)[0])
 
@@ -445,6 +478,7 @@ CHECKED: dict[str, Query] = {
     "category_domains": lambda s, f: model.category_domains(w.training_table(s, f)),
     "target_encoding": lambda s, f: model.mean_target_encoding(w.training_table(s, f), "store_nbr"),
     "gbt_completeness": gbt_completeness,
+    "model_checks": model_checks,
     "sample_fixed": _on_scored(explain.fixed_sample, D.sample_size, D.seed),
 }
 

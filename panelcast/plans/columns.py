@@ -41,6 +41,7 @@ OUTPUTS: dict[str, str] = {
     "panel_total": "sales:d",
     "category_domains": "feature:s levels:i",
     "target_encoding": "store_nbr:i store_nbr_mean:d",
+    "model_checks": "check_name:s checked:i violations:i target:d",
     "gbt_completeness": "scored_rows:i missing:i input_rows:i complete:i",
     "sales_summary": _SUMMARY,
     "price_summary": _SUMMARY,

