@@ -14,8 +14,16 @@ from pyspark.sql import functions as F
 
 from panelcast.llm.licence_texts import KNOWN_LICENCES
 
-# Lines that name a holder or a year, after lower-casing.
-COPYRIGHT_LINE = r"(?:^|\n)[ \t]*(?:copyright|\(c\)|©|all rights reserved)[^\n]*"
+# Whole lines that name a holder or a year, behind comment marks or not, after
+# lower-casing.  Lines of a body that merely begin with the word stay.
+COPYRIGHT_LINE = (
+    r"(?:^|\n)[ \t/*#;%!|>'-]*(?:"
+    r"(?:portions[ \t]+)?copyright[ \t:]*(?:\(c\)|©|&copy;|(?:19|20)[0-9]{2}|by[ \t]|[<\[{](?:year|yyyy)"
+    r"|the[ \t][^\n]*(?:authors|contributors|developers|foundation|project|team)[ \t.,]*(?=\n|$))[^\n]*"
+    r"|\(c\)[ \t]*(?:copyright|(?:19|20)[0-9]{2}|by[ \t]|[<\[{](?:year|yyyy))[^\n]*"
+    r"|©[^\n]*"
+    r"|all rights reserved[ \t.,;!*/#-]*(?=\n|$))"
+)
 
 # Spellings that licence matching treats as equal, as whole words.
 SPELLINGS = (

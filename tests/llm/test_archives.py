@@ -3,6 +3,7 @@
 import base64
 import hashlib
 import random
+import textwrap
 import zlib
 
 import numpy as np
@@ -66,6 +67,22 @@ def test_licences(spark, docs):
     assert licences.scan_licences(docs([])).count() == 0
 
 
+def test_licences_wrapped_and_commented(spark, docs):
+    """Known licences at any width, below holder lines, plain or behind comment marks."""
+    rows, expected = [], {}
+    for name, body in KNOWN_LICENCES[:9]:
+        for width in (30, 54, 65, 78):
+            lines = [line for part in body.split("\n\n") for line in [*textwrap.wrap(part, width, break_on_hyphens=False), ""]]
+            for mark in ("", "# ", " * ", "// "):
+                head = ["Copyright (c) 2020 Some One", "Copyright 2019, The X Authors", "All rights reserved.", ""]
+                rows.append((len(rows), "\n".join(mark + line for line in head + lines)))
+                expected[rows[-1][0]] = name
+    isc = dict(KNOWN_LICENCES[:9])["ISC"].replace("above copyright", "above\ncopyright")
+    rows.append((len(rows), isc))
+    expected[rows[-1][0]] = "ISC"
+    assert {r.doc_id: r.licence for r in licences.scan_licences(docs(rows)).collect()} == expected
+
+
 @pytest.mark.parametrize("ranges", [256, 4])
 def test_shards(spark, docs, ranges):
     rng = random.Random(1)
