@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from panelcast.llm.licence_digests import LICENCE_DIGESTS
 from panelcast.llm.licence_texts import KNOWN_LICENCES
 
 # Whole lines that name a holder or a year, behind comment marks or not, after
@@ -75,10 +76,13 @@ def canonical(text: Column) -> Column:
     return F.trim(F.regexp_replace(out, " +", " "))
 
 
-def licence_digests(spark, texts: Sequence[tuple[str, str]] = KNOWN_LICENCES) -> DataFrame:
-    """``digest``, ``licence`` from (name, text) pairs: one row per canonical text, the first name of equal ones."""
+def licence_digests(
+    spark, texts: Sequence[tuple[str, str]] = KNOWN_LICENCES, digests: Sequence[tuple[str, str]] = LICENCE_DIGESTS
+) -> DataFrame:
+    """``digest``, ``licence`` from (name, text) and (name, digest) pairs: one row per canonical text, the first name of equal ones."""
     rows = spark.createDataFrame(list(texts), "licence string, text string")
     named = rows.select(F.sha2(canonical(F.col("text")), 256).alias("digest"), "licence")
+    named = named.unionByName(spark.createDataFrame(list(digests), "licence string, digest string"))
     return named.groupBy("digest").agg(F.min("licence").alias("licence"))
 
 

@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+import pathlib
 import random
 import textwrap
 import zlib
@@ -83,6 +84,23 @@ def test_licences_wrapped_and_commented(spark, docs):
     assert {r.doc_id: r.licence for r in licences.scan_licences(docs(rows)).collect()} == expected
 
 
+def test_whole_long_licences(spark, docs):
+    """Licence files as Debian ships them, and those without their appendix behind comment marks."""
+    folder = pathlib.Path("/usr/share/common-licenses")
+    names = {"Apache-2.0": "Apache-2.0", "GPL-2": "GPL-2.0", "GPL-3": "GPL-3.0", "LGPL-2.1": "LGPL-2.1", "LGPL-3": "LGPL-3.0", "MPL-2.0": "MPL-2.0", "CC0-1.0": "CC0-1.0"}
+    found = {licence: folder / name for name, licence in names.items() if (folder / name).exists()}
+    if not found:
+        pytest.skip("no licence files")
+    rows, expected = [], []
+    for licence, path in found.items():
+        text = path.read_text(encoding="utf-8")
+        terms = text.partition("END OF TERMS AND CONDITIONS")[0]
+        for t in (text, terms, "\n".join(f" * {line}" for line in text.split("\n")), text + " and more"):
+            rows.append((len(rows), t))
+            expected.append(None if t.endswith(" and more") else licence)
+    assert [r.licence for r in sorted(licences.scan_licences(docs(rows)).collect(), key=lambda r: r.doc_id)] == expected
+
+
 @pytest.mark.parametrize("ranges", [256, 4])
 def test_shards(spark, docs, ranges):
     rng = random.Random(1)
