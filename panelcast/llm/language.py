@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelcast.llm.text import map_texts
+from panelcast.sources.sinks import materialize
 
 UNDETERMINED = "und"
 
@@ -37,8 +38,9 @@ FAMILIES = {
     "sinitic": ("zh", "yue"),
 }
 
-# Parameters of the fit: labelled rows per language and languages, at most, and the feature space.
-PER_LANGUAGE, LANGUAGES, DIMENSIONS = 600, 64, 4096
+# Parameters of the fit: labelled rows per language and of all languages, about and at most, and the
+# feature space.  Every label is learned; with many of them each has fewer rows, LEAST_ROWS at least.
+PER_LANGUAGE, ALL_ROWS, LEAST_ROWS, DIMENSIONS = 600, 15_000, 8, 4096
 
 # A-Z to a-z; other ASCII but letters to a space
 _FOLD = bytes(
@@ -85,12 +87,21 @@ def fit_machine(x: np.ndarray, sign: np.ndarray, cost: float = 10.0, rounds: int
         if inside is not None and np.array_equal(now, inside):
             break
         inside = now
-        if inside.any():
+        at = np.flatnonzero(inside)
+        if len(at) > x.shape[1]:
+            # the primal form, as large as the dimensions however many rows there are
+            hess, right = np.eye(x.shape[1]), np.zeros(x.shape[1])
+            for i in range(0, len(at), 4096):
+                a, c = x[at[i : i + 4096]], weight[at[i : i + 4096]].astype(x.dtype)[:, None]
+                hess += a.T @ (a * c)
+                right += (sign[at[i : i + 4096]].astype(x.dtype) @ (a * c)).astype(np.float64)
+            w = np.linalg.solve(hess, right)
+        elif len(at):
             # the dual form: rows inside the margin are fewer than dimensions
-            a = x[inside]
+            a = x[at]
             gram = (a @ a.T).astype(np.float64)
-            gram[np.diag_indices_from(gram)] += 1.0 / weight[inside]
-            w = (np.linalg.solve(gram, sign[inside]).astype(x.dtype) @ a).astype(np.float64)
+            gram[np.diag_indices_from(gram)] += 1.0 / weight[at]
+            w = (np.linalg.solve(gram, sign[at]).astype(x.dtype) @ a).astype(np.float64)
     return w
 
 
@@ -126,56 +137,81 @@ class Model:
         return languages[won], score * float(1.0 / (1.0 + np.exp(-2.0 * pull)))
 
 
+def _vectors(rows: list[bytes], dimensions: int) -> np.ndarray:
+    """Feature vectors with a last column of 1."""
+    x = np.ones((len(rows), dimensions + 1), np.float32)
+    for i, r in enumerate(rows):
+        x[i, :-1] = np.frombuffer(r, np.float32)
+    return x
+
+
+def _pair_machines(sample: DataFrame, families: dict[str, list[str]], dimensions: int) -> dict[str, np.ndarray]:
+    """The machines of each family's pairs of languages, one group of a Spark task each."""
+    machines = {f: list(itertools.combinations(members, 2)) for f, members in families.items()}
+    # a language meets the other members of its family only, which are few
+    sides = [(a if k == 0 else b, f, n, 1.0 - 2 * k) for f, pairs in machines.items() for n, (a, b) in enumerate(pairs) for k in (0, 1)]
+    if not sides:
+        return {f: np.zeros((0, dimensions + 1)) for f in families}
+    sides = sample.sparkSession.createDataFrame(sides, "lang string, family string, n int, sign double")
+
+    def solve(key, pdf):
+        import pandas as pd
+
+        pdf = pdf.sort_values(["lang", "drawn"])
+        w = fit_machine(_vectors(list(pdf["vector"]), dimensions), pdf["sign"].to_numpy())
+        return pd.DataFrame({"family": [key[0]], "n": [key[1]], "w": [w.tobytes()]})
+
+    rows = sample.join(sides, "lang").groupBy("family", "n").applyInPandas(solve, "family string, n int, w binary")
+    found = {(r.family, r.n): np.frombuffer(r.w) for r in rows.collect()}
+    return {f: np.array([found[f, n] for n in range(len(pairs))]) for f, pairs in machines.items()}
+
+
 def fit(
-    labelled: DataFrame, key: Column, per_language: int = PER_LANGUAGE, languages: int = LANGUAGES,
+    labelled: DataFrame, key: Column, per_language: int = PER_LANGUAGE, all_rows: int = ALL_ROWS,
     dimensions: int = DIMENSIONS,
 ) -> Model:
-    """Fit on (``text``, ``lang``) rows: about ``per_language`` rows of each language by the hash of ``key``.
+    """Fit on (``text``, ``lang``) rows: rows of each language by the hash of ``key``.
 
-    Texts without letters teach nothing.  The most frequent ``languages`` are learned, ties by
-    name.  The sample's vectors come from whole texts, computed on the executors.
+    Texts without letters teach nothing.  Every language is learned: each has about
+    ``per_language`` rows, or its share of ``all_rows`` if that is less, and its first row by the
+    hash at least.  The sample's vectors come from whole texts, computed on the executors.
     """
-    # two whole numbers per language
-    counts = labelled.where("lang IS NOT NULL").groupBy("lang").agg(F.count("*").alias("n"))
-    top = counts.orderBy(F.col("n").desc(), "lang").limit(languages).collect()
-    if not top:
-        return Model({}, np.zeros((0, dimensions + 1)), {}, dimensions)
-    share = F.create_map(*[F.lit(v) for r in top for v in (r.lang, per_language / r.n)])
     u = F.pmod(F.xxhash64(F.lit(3), key), F.lit(1 << 30)) / float(1 << 30)
-    drawn = labelled.where(F.col("lang").isin([r.lang for r in top])).where(u < share[F.col("lang")])
+    teaching = labelled.where("lang IS NOT NULL").where(F.col("text").rlike(r"\p{L}")).withColumn("u", u).withColumn("drawn", F.xxhash64(key))
+    # two numbers per language
+    counts = teaching.groupBy("lang").agg(F.count("*").alias("n"), F.min("u").alias("least")).collect()
+    if not counts:
+        return Model({}, np.zeros((0, dimensions + 1)), {}, dimensions)
+    per = max(LEAST_ROWS, min(per_language, all_rows // len(counts)))
+    bounds = labelled.sparkSession.createDataFrame([(r.lang, max(per / r.n, r.least)) for r in counts], "lang string, bound double")
+    drawn = teaching.join(F.broadcast(bounds), "lang").where(F.col("u") <= F.col("bound"))
 
     def vector(texts: list) -> list[list]:
         return [[features(t, dimensions).astype(np.float32).tobytes() if has_letter(t) else None for t in texts]]
 
-    drawn = drawn.withColumn("drawn", F.xxhash64(key))
     sample = map_texts(drawn, "text", ["lang", "drawn"], "vector binary", vector).where("vector IS NOT NULL")
+    sample = materialize(sample, "language_sample")
     # one copy of the sample, filled as it arrives and then ordered by the draw
-    keys, x = [], np.ones((64, dimensions + 1), np.float32)
-    for r in sample.toLocalIterator():
-        if len(keys) == len(x):
-            x.resize((2 * len(x), dimensions + 1), refcheck=False)
-        x[len(keys), :-1] = np.frombuffer(r.vector, np.float32)
-        keys.append((r.lang, r.drawn))
+    keys = sorted((r.lang, r.drawn) for r in sample.select("lang", "drawn").collect())
     if not keys:
         return Model({}, np.zeros((0, dimensions + 1)), {}, dimensions)
-    x.resize((len(keys), dimensions + 1), refcheck=False)
-    x[:, -1] = 1.0
-    order = sorted(range(len(keys)), key=keys.__getitem__)
-    x[:] = x[order]
-    lang = np.array([keys[i][0] for i in order])
+    lang = np.array([k[0] for k in keys])
     families: dict[str, list[str]] = {}
     for name in sorted(set(lang)):
         families.setdefault(family(name), []).append(str(name))
-    of = np.array([family(v) for v in lang])
-    tops = np.stack([fit_machine(x, np.where(of == f, 1.0, -1.0)) if len(families) > 1 else np.zeros(dimensions + 1) for f in families])
-    pairs = {}
-    for f, members in families.items():
-        machines = []
-        for a, b in itertools.combinations(members, 2):
-            at = (lang == a) | (lang == b)
-            machines.append(fit_machine(x[at], np.where(lang[at] == a, 1.0, -1.0)))
-        pairs[f] = np.array(machines)
-    return Model(families, tops, pairs, dimensions)
+    tops = np.zeros((len(families), dimensions + 1))
+    if len(families) > 1:
+        x = np.ones((len(keys), dimensions + 1), np.float32)
+        places: dict[tuple, list[int]] = {}
+        for i in reversed(range(len(keys))):
+            places.setdefault(keys[i], []).append(i)
+        for r in sample.toLocalIterator():
+            x[places[r.lang, r.drawn].pop(), :-1] = np.frombuffer(r.vector, np.float32)
+        of = np.array([family(v) for v in lang])
+        for i, f in enumerate(families):
+            tops[i] = fit_machine(x, np.where(of == f, 1.0, -1.0))
+        del x
+    return Model(families, tops, _pair_machines(sample, families, dimensions), dimensions)
 
 
 def identify(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:

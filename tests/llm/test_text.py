@@ -5,6 +5,7 @@ import re
 import zlib
 from collections import defaultdict
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -41,6 +42,28 @@ def test_language_undetermined_and_unlearned(spark, docs):
     assert only.predict("anything")[0] == "fr"
 
 
+def test_every_label_is_learned(spark, docs):
+    """More labels than once were learned; the last ones by number of rows and name are found again."""
+    names = [f"q{i:02d}" for i in range(70)]
+    rng = random.Random(2)
+    words = {n: ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(7)) for _ in range(6)] for n in names}
+    rows = [(i, " ".join(rng.choice(words[n]) for _ in range(12)), n) for i, n in enumerate(names * 9)]
+    model = language.fit(docs(rows), F.col("doc_id"), dimensions=512)
+    assert sorted(model.families) == names
+    assert all(model.predict(" ".join(words[n]))[0] == n for n in names)
+
+
+def test_primal_and_dual_machines_agree():
+    rng = np.random.default_rng(3)
+    x = np.hstack([rng.normal(size=(300, 20)), np.ones((300, 1))])
+    sign = np.where(x[:, 0] + rng.normal(size=300) > 0.4, 1.0, -1.0)
+    w = language.fit_machine(x, sign)
+    weight = 10.0 * 300 / (2 * np.where(sign > 0, (sign > 0).sum(), (sign < 0).sum()))
+    slack = np.maximum(0, 1 - sign * (x @ w))
+    # the gradient of the loss vanishes
+    assert np.abs(w - x.T @ (weight * sign * slack)).max() < 1e-6 * np.abs(x.T @ (weight * slack)).max()
+
+
 def targets(sizes, weights=(5, 2, 1)):
     """By the rule: share by weight, cap, share the excess again until nothing is above its cap."""
     names = sorted((s for s in sizes if s is not None), key=lambda s: s.encode()) + ([None] if None in sizes else [])
