@@ -173,6 +173,14 @@ def test_pipeline_stages(spark, docs, tmp_path):
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == len(ids[4])
 
 
+def test_near_duplicates_with_repeated_and_null_ids(spark, docs):
+    """One row of each group stays, whatever its id names elsewhere."""
+    one, two, three = (" ".join(f"{c}{i}" for i in range(30)) for c in "abc")
+    rows = [(1, one, "en", "s"), (0, two, "en", "s"), (1, two, "en", "s"), (None, three, "en", "s"), (None, three, "en", "t"), (None, one, "en", "u")]
+    left = corpus_pipeline.drop_near_duplicates(spark, docs(rows), "").collect()
+    assert sorted((str(r.doc_id), r.text) for r in left) == sorted([("1", one), ("0", two), ("None", three)])
+
+
 def test_pipeline_of_nothing_and_nulls(spark, docs, tmp_path):
     spark.createDataFrame([], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
     nulls = [(None, None, None, None), (1, None, None, None), (None, "", None, None), (2, "only one", "en", None), (2, "only one", "en", None)]
