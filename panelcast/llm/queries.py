@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelcast.llm import decontaminate, language, licences, mixing, sharding, simhash, substrings, tokens, vectors, warc
+from panelcast.llm import (
+    contexttree, conversations, decontaminate, filteraudit, language, licences, mixing, sharding, simhash, substrings, tokens, vectors,
+    warc,
+)
 from panelcast.sources.sinks import intermediate_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -65,6 +68,18 @@ def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+def op11_filters(spark: SparkSession, folder: str) -> DataFrame:
+    return filteraudit.filter_interactions(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+def op12_conversations(spark: SparkSession, folder: str) -> DataFrame:
+    return conversations.repair_report(conversations.damage(table(spark, folder, "conversations")))
+
+
+def op13_contexttree(spark: SparkSession, folder: str) -> DataFrame:
+    return contexttree.score_texts(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_vectors": op1_vectors,
     "op2_warc": op2_warc,
@@ -76,4 +91,7 @@ QUERIES: dict[str, Query] = {
     "op8_simhash": op8_simhash,
     "op9_tokens": op9_tokens,
     "op10_decontamination": op10_decontamination,
+    "op11_filters": op11_filters,
+    "op12_conversations": op12_conversations,
+    "op13_contexttree": op13_contexttree,
 }

@@ -1,7 +1,7 @@
 """DuckDB SQL that states the queries of this subpackage independently, where SQL can.
 
 Not stated: language ID (fitted machines), mixing (a hash that DuckDB lacks), SimHash (likewise),
-and token archives (a tokenizer); tests compare those with brute force.
+token archives (a tokenizer) and context trees (logarithms of gamma functions); tests compare those with brute force.
 """
 
 from __future__ import annotations
@@ -134,6 +134,109 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(COALESCE(n_hit, 0) AS BIG
        COALESCE(n_hit, 0) > 0 AS contaminated
 FROM t LEFT JOIN h USING (r) LEFT JOIN d USING (r)"""
 
+OP11 = """
+WITH l(letter, i) AS (VALUES ('A', 1), ('B', 2), ('C', 3), ('D', 4), ('E', 5)),
+o AS (
+  SELECT a.letter || b.letter || c.letter || d.letter || e.letter AS filter_order, [a.i, b.i, c.i, d.i, e.i] AS p
+  FROM l a, l b, l c, l d, l e WHERE len(list_distinct([a.i, b.i, c.i, d.i, e.i])) = 5),
+t AS (SELECT doc_id, COALESCE(source, '') AS part, COALESCE(text, '') AS text FROM documents),
+m AS (SELECT text, MIN(doc_id) AS least FROM t GROUP BY text),
+b AS (SELECT doc_id, BOOL_OR(quality = 1) AS good, BOOL_OR(toxic = 1) AS toxic FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id),
+w AS (SELECT t.*, least, good, toxic, regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+') AS w FROM t JOIN m USING (text) LEFT JOIN b USING (doc_id)),
+f AS (
+  SELECT part, COALESCE(good, FALSE) AS good, COALESCE(toxic, FALSE) AS toxic, [
+    len(w) < 50, 100 * len(list_distinct(w)) < 65 * len(w), 100 * len(regexp_extract_all(text, '[A-Z]')) > 5 * length(text),
+    regexp_matches(text, '[#$%&*|]'), COALESCE(least < doc_id, FALSE)] AS x FROM w),
+g AS (SELECT part, good, toxic, x, COUNT(*) AS n FROM f GROUP BY ALL),
+s AS (
+  SELECT part, filter_order, step, p[step] AS i, good, toxic, n, x[p[step]] AS here,
+         COALESCE(list_bool_or(list_transform(p[1 : step - 1], lambda k: x[k])), FALSE) AS before,
+         len(list_filter(x, lambda v: v)) AS failed
+  FROM g, o, (SELECT UNNEST(range(1, 6)) AS step)),
+r AS (
+  SELECT part, filter_order, step, i,
+         SUM(n) FILTER (WHERE NOT before AND NOT here) AS kept, SUM(n) FILTER (WHERE NOT before AND here) AS removed,
+         SUM(n) FILTER (WHERE before AND here) AS redundant, SUM(n) FILTER (WHERE here AND failed = 1) AS unique_fails,
+         SUM(n) FILTER (WHERE NOT before AND here AND good) AS good_lost, SUM(n) FILTER (WHERE NOT before AND here AND toxic) AS toxic_lost
+  FROM s GROUP BY ALL)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(COALESCE(kept, 0) AS BIGINT) AS kept,
+       CAST(COALESCE(removed, 0) AS BIGINT) AS removed, CAST(COALESCE(redundant, 0) AS BIGINT) AS redundant,
+       CAST(COALESCE(unique_fails, 0) AS BIGINT) AS unique_fails, CAST(COALESCE(good_lost, 0) AS BIGINT) AS good_lost,
+       CAST(COALESCE(toxic_lost, 0) AS BIGINT) AS toxic_lost,
+       CAST(SUM(COALESCE(removed, 0)) OVER (PARTITION BY part, i) AS BIGINT) AS shapley
+FROM r"""
+
+
+def _path(state: str, cost: str, letter: str, message: str | None = None) -> str:
+    """A path (nine digits of cost, initials, a mark, messages) after one more edit; null stays null."""
+    mark = f"strpos({state}, chr(1))"
+    more = f" || substr({state}, {mark} + 1)" + (f" || CASE WHEN length({state}) > {mark} THEN chr(10) ELSE '' END || {message}" if message else "")
+    return f"lpad(CAST(CAST(substr({state}, 1, 9) AS BIGINT) + ({cost}) AS VARCHAR), 9, '0') || substr({state}, 10, {mark} - 10) || '{letter}' || chr(1){more}"
+
+
+def _least(*paths: str) -> str:
+    # '~' stands for no path: it comes after all digits
+    return f"nullif(least({', '.join(f'coalesce({p}, chr(126))' for p in paths)}), chr(126))"
+
+
+_ROW, _OPEN = "role || ':' || text", "NOT must AND"
+_ONE, _CUT = "1 + cut", "cut"
+
+
+def _when(condition: str, path: str) -> str:
+    return f"CASE WHEN {condition} THEN {path} END"
+
+
+OP12 = f"""
+WITH RECURSIVE c AS (
+  SELECT conv_id, turn, COALESCE(role, ' ') AS role, COALESCE(text, ' ') AS text,
+         COALESCE(CAST(conv_id AS VARCHAR), ' ') || ':' || COALESCE(CAST(turn AS VARCHAR), ' ') AS k FROM conversations),
+h AS (
+  SELECT *, xor(4294967295, list_reduce(
+    list_prepend(CAST(4294967295 AS BIGINT), list_transform(
+      string_split(regexp_replace(lower(hex(encode(k))), '(.)(.)', '\\2\\1', 'g'), ''), lambda c: CAST(strpos('0123456789abcdef', c) - 1 AS BIGINT))),
+    lambda crc, x: xor(crc >> 4, (CAST({_crc_table()} AS BIGINT[]))[(xor(crc, x) & 15) + 1]))) % 20 AS fault FROM c),
+d AS (
+  SELECT conv_id, turn, CASE fault WHEN 4 THEN 'user' ELSE role END AS role,
+         CASE fault WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+  FROM h, range(0, 2) AS x(copy) WHERE fault <> 0 AND (copy = 0 OR fault = 3)),
+n AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i FROM d),
+e AS (
+  SELECT *, NOT regexp_matches(text, '[^\\x20\\x09-\\x0D]') AS blank,
+         row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS seen,
+         NOT regexp_matches(text, '[.!?][\\x20\\x09-\\x0D]*\\z') AS open,
+         lag(substr(role, 1, 1)) OVER (PARTITION BY conv_id ORDER BY i) || substr(role, 1, 1) AS pair FROM n),
+r AS (
+  SELECT *, blank OR seen AS must, CASE WHEN NOT blank AND NOT seen AND open THEN 5 ELSE 0 END AS cut, substr(role, 1, 1) AS f FROM e),
+q AS (
+  SELECT conv_id, CAST(COALESCE(MAX(turn) - MIN(turn) + 1 - COUNT(DISTINCT turn), 0) AS BIGINT) AS gaps, COUNT(*) AS n,
+         COUNT(*) FILTER (WHERE blank) AS blank, COUNT(*) FILTER (WHERE NOT blank AND seen) AS duplicate,
+         COUNT(*) FILTER (WHERE cut > 0) AS truncated, COUNT(*) FILTER (WHERE pair NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM r GROUP BY conv_id),
+-- the best path to each state: nothing yet, after system, after user, after assistant
+v AS (
+  SELECT DISTINCT conv_id, CAST(0 AS BIGINT) AS i, '000000000' || chr(1) AS z, CAST(NULL AS VARCHAR) AS s, CAST(NULL AS VARCHAR) AS u,
+         CAST(NULL AS VARCHAR) AS a FROM c
+  UNION ALL
+  SELECT conv_id, i,
+         {_path("z", "2", "D")},
+         {_least(_when(f"{_OPEN} f = 's'", _path("z", _CUT, "K", _ROW)), _path("s", "2", "D"))},
+         {_least(_path("iu", "2", "D"), *[_when(f"{_OPEN} f = 'u'", _path(x, _CUT, "K", _ROW)) for x in ("z", "s", "ia")],
+                 *[_when("NOT must", _path(x, _ONE, "R", "'user:' || text")) for x in ("z", "s", "ia")])},
+         {_least(_path("ia", "2", "D"), _when(f"{_OPEN} f = 'a'", _path("iu", _CUT, "K", _ROW)),
+                 _when("NOT must", _path("iu", _ONE, "R", "'assistant:' || text")))}
+  FROM (
+    SELECT r.*, z, s, {_least("u", *[_path(x, "5", "I", "'user:'") for x in ("z", "s", "a")])} AS iu,
+           {_least("a", _path("u", "5", "I", "'assistant:'"))} AS ia
+    FROM v JOIN r ON r.conv_id IS NOT DISTINCT FROM v.conv_id AND r.i = v.i + 1)),
+w AS (
+  SELECT v.conv_id, {_least("z", "a", _path("u", "5", "I", "'assistant:'"))} AS p, q.*
+  FROM v LEFT JOIN q ON q.conv_id IS NOT DISTINCT FROM v.conv_id WHERE v.i = COALESCE(q.n, 0))
+SELECT conv_id, COALESCE(gaps, 0) AS gaps, COALESCE(blank, 0) AS blank, COALESCE(duplicate, 0) AS duplicate,
+       COALESCE(truncated, 0) AS truncated, COALESCE(illegal, 0) AS illegal, CAST(substr(p, 1, 9) AS BIGINT) AS cost,
+       substr(p, 10, strpos(p, chr(1)) - 10) AS audit, sha256(substr(p, strpos(p, chr(1)) + 1)) AS repaired_sha256
+FROM w"""
+
 ORACLE_SQL = {
     "op1_vectors": OP1,
     "op2_warc": OP2,
@@ -141,4 +244,6 @@ ORACLE_SQL = {
     "op4_licences": OP4,
     "op5_substrings": OP5,
     "op10_decontamination": OP10,
+    "op11_filters": OP11,
+    "op12_conversations": OP12,
 }
