@@ -32,9 +32,9 @@ from panelcast.llm.substrings import _unpack, pack_chunks
 from panelcast.sources.sinks import intermediate_path
 
 # Parameters: context bytes (2 to 7); bytes of a chunk at least and at most; positions handled at once.
-DEPTH, LEAST_CHUNK, MOST_CHUNK, STRETCH = 5, 8 << 20, 256 << 20, 4 << 20
+DEPTH, LEAST_CHUNK, MOST_CHUNK, STRETCH = 6, 16 << 20, 256 << 20, 4 << 20
 # Chunks and ranges both grow with the root of the corpus, so that pieces stay of a useful size.
-_ROOT_BYTES = 100_000
+_ROOT_BYTES = 200_000
 # A byte that UTF-8 never has: it ends every text and fills the contexts before its start.
 BOUNDARY = 0xFF
 # Documents whose checksum modulo 7 is 2 are not learned from.
@@ -62,23 +62,24 @@ def context_codes(words: list[list[bytes]], depth: int = DEPTH, stretch: int = S
     A text is its words joined by one space and the boundary; every text starts from boundaries.
     """
     pad = bytes([BOUNDARY])
-    buffer = b"".join(pad * depth + b" ".join(w) + pad for w in words)
-    b = np.frombuffer(buffer, np.uint8)
-    lengths = np.array([sum(map(len, w)) + max(0, len(w) - 1) + 1 for w in words], np.int64)
-    bounds = np.cumsum(lengths + depth)
+    b = np.frombuffer(b"".join(pad * depth + b" ".join(w) + pad for w in words), np.uint8)
+    spans = np.array([sum(map(len, w)) + max(0, len(w) - 1) + 1 + depth for w in words], np.int64)
+    ends = np.cumsum(spans)
     for start in range(0, len(b), stretch):
-        # contexts reach back over the stretch's start
+        stop = min(start + stretch, len(b))
+        # contexts reach back over the stretch's start; before the first text there are boundaries
         low = max(0, start - depth)
-        part = b[low : start + stretch].astype(_U)
-        place = np.arange(max(start, depth), min(start + stretch, len(b)))
-        if not len(place):
-            continue
-        doc = np.searchsorted(bounds, place, "right")
-        real = place - (bounds[doc] - lengths[doc]) >= 0
-        at = place - low
-        codes = part[at]
+        part = np.concatenate([np.full(depth - (start - low), BOUNDARY, np.uint8), b[low:stop]]).astype(_U)
+        codes = part[depth:].copy()
         for k in range(1, depth + 1):
-            codes |= part[at - k] << _U(8 * (depth + 1 - k))
+            codes |= part[depth - k : len(part) - k] << _U(8 * (depth + 1 - k))
+        first, last = np.searchsorted(ends, [start, stop - 1], "right")
+        docs = np.arange(first, last + 1)
+        begin = ends[docs] - spans[docs]
+        doc = np.repeat(docs, np.minimum(ends[docs], stop) - np.maximum(begin, start))
+        real = np.ones(len(codes), bool)
+        filler = (begin[:, None] + np.arange(depth)).ravel() - start
+        real[filler[(filler >= 0) & (filler < len(codes))]] = False
         yield codes[real], doc[real]
 
 
@@ -96,7 +97,7 @@ def chunk_contexts(words: list[list[bytes]], learned: np.ndarray, depth: int = D
     for found, doc in context_codes(words, depth):
         taught = learned[doc]
         one, n = np.unique(found[taught], return_counts=True)
-        other = np.unique(found[~taught])
+        other, _ = np.unique(found[~taught], return_counts=True)
         codes, counts = _added(
             np.concatenate([codes, one, other]), np.concatenate([counts, n, np.zeros(len(other), np.int64)])
         )
@@ -107,19 +108,28 @@ def chunk_contexts(words: list[list[bytes]], learned: np.ndarray, depth: int = D
 
 
 def log_gamma(x: np.ndarray) -> np.ndarray:
-    """Natural logarithm of the gamma function for x > 0: Stirling's series from 8 on, the recurrence below."""
-    shift = np.where(x < 8, 8.0, 0.0)
-    product = np.ones_like(x)
-    for i in range(8):
-        product *= np.where(shift > 0, x + i, 1.0)
-    z = x + shift
-    series = 1 / (12 * z) - 1 / (360 * z**3) + 1 / (1260 * z**5) - 1 / (1680 * z**7) + 1 / (1188 * z**9)
-    return (z - 0.5) * np.log(z) - z + 0.5 * math.log(2 * math.pi) + series - np.log(product)
+    """Natural logarithm of the gamma function by Stirling's series, for x of 16 and more."""
+    series = 1 / (12 * x) - 1 / (360 * x**3) + 1 / (1260 * x**5) - 1 / (1680 * x**7)
+    return (x - 0.5) * np.log(x) - x + 0.5 * math.log(2 * math.pi) + series
+
+
+# logarithms of gamma at n + 1/2 and n + 1 for small n, by the recurrence
+_SMALL = 1 << 14
+_HALVES = 0.5 * math.log(math.pi) + np.append(0.0, np.cumsum(np.log(np.arange(_SMALL - 1) + 0.5)))
+_WHOLES = np.append(0.0, np.cumsum(np.log(np.arange(1.0, _SMALL))))
+
+
+def _log_gamma_at(n: np.ndarray, table: np.ndarray, step: float) -> np.ndarray:
+    small = n < _SMALL
+    if small.all():
+        return table[n.astype(np.int64)]
+    return np.where(small, table[np.where(small, n, 0).astype(np.int64)], log_gamma(np.where(small, _SMALL, n) + step))
 
 
 def log_estimate(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
     """Logarithm of the Krichevsky-Trofimov probability of so many zeros and ones."""
-    return log_gamma(zeros + 0.5) + log_gamma(ones + 0.5) - log_gamma(zeros + ones + 1.0) - math.log(math.pi)
+    halves = _log_gamma_at(zeros, _HALVES, 0.5) + _log_gamma_at(ones, _HALVES, 0.5)
+    return halves - _log_gamma_at(zeros + ones, _WHOLES, 1.0) - math.log(math.pi)
 
 
 class _Level:
@@ -290,27 +300,28 @@ def _ranges_of(codes: np.ndarray, depth: int, ranges: int) -> np.ndarray:
     return ((mixed >> _U(32)) * _U(ranges) >> _U(32)).astype(np.int64)
 
 
-class _Chunk:
-    """Words, codes and counts of a chunk, dealt by ranges."""
-
-    def __init__(self, blob: bytes, depth: int, ranges: int):
-        self.ids, texts = _unpack(blob)
-        self.words = [tokens(t) for t in texts]
-        self.held = np.array([held_out(i) for i in self.ids], bool)
-        self.codes, self.counts = chunk_contexts(self.words, ~self.held, depth)
-        order = np.argsort(_ranges_of(self.codes, depth, ranges), kind="stable")
-        self.codes, self.counts = self.codes[order], self.counts[order]
-        self.at = np.searchsorted(_ranges_of(self.codes, depth, ranges), np.arange(ranges + 1))
-        learned, all_words = Counter(), set()
-        for words, held in zip(self.words, self.held):
-            all_words.update(words)
-            if not held:
-                learned.update(words)
-        self.learned = learned
-        dealt: list[list[bytes]] = [[] for _ in range(ranges)]
-        for w in sorted(all_words):
-            dealt[zlib.crc32(w) % ranges].append(w)
-        self.dealt = dealt
+def _chunk_pieces(blob: bytes, depth: int, ranges: int) -> Iterator[tuple]:
+    """A chunk's distinct codes and words with their counts in learned texts, one piece for every range."""
+    ids, texts = _unpack(blob)
+    words = [tokens(t) for t in texts]
+    held = np.array([held_out(i) for i in ids], bool)
+    codes, counts = chunk_contexts(words, ~held, depth)
+    order = np.argsort(_ranges_of(codes, depth, ranges), kind="stable")
+    codes, counts = codes[order], counts[order]
+    at = np.searchsorted(_ranges_of(codes, depth, ranges), np.arange(ranges + 1))
+    learned, met = Counter(), set()
+    for found, out in zip(words, held):
+        met.update(found)
+        if not out:
+            learned.update(found)
+    dealt: list[list[bytes]] = [[] for _ in range(ranges)]
+    for w in met:
+        dealt[zlib.crc32(w) % ranges].append(w)
+    for r in range(ranges):
+        # the ends of the learned texts go with the first range
+        times = [learned[w] for w in dealt[r]] + [int((~held).sum()) if r == 0 else 0]
+        part = slice(at[r], at[r + 1])
+        yield r, _squeeze_sorted(codes[part]), _squeeze(counts[part]), _squeeze_words(dealt[r]), _squeeze(np.array(times, np.int64))
 
 
 _PIECE = "range int, chunk long, codes binary, counts binary, words binary, times binary"
@@ -347,15 +358,7 @@ def score_texts(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
     def send(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             for chunk, blob in zip(pdf["chunk"], pdf["blob"]):
-                found = _Chunk(blob, depth, ranges)
-                ends = int((~found.held).sum())
-                rows = []
-                for r in range(ranges):
-                    a, b = found.at[r], found.at[r + 1]
-                    words = found.dealt[r]
-                    # the ends of the learned texts go with the first range
-                    times = np.array([found.learned[w] for w in words] + [ends if r == 0 else 0], np.int64)
-                    rows.append((r, chunk, _squeeze_sorted(found.codes[a:b]), _squeeze(found.counts[a:b]), _squeeze_words(words), _squeeze(times)))
+                rows = [(r, chunk, *rest) for r, *rest in _chunk_pieces(blob, depth, ranges)]
                 yield pd.DataFrame(rows, columns=["range", "chunk", "codes", "counts", "words", "times"])
 
     chunks.mapInPandas(send, _PIECE).write.option("compression", "none").parquet(f"{path}/pieces")
@@ -368,20 +371,20 @@ def score_texts(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
         logs = root.log_probability(codes, tree.bits(), depth)
         scores, known = [], []
         for blob, words in zip(pdf["codes"], pdf["words"]):
-            scores.append(_squeeze(logs[np.searchsorted(codes, _spread_sorted(blob))]))
+            # logarithms travel in single precision, one part in ten million
+            scores.append(_squeeze(logs[np.searchsorted(codes, _spread_sorted(blob))].astype(np.float32)))
             known.append(_squeeze(np.array([counts[w] for w in _spread_words(words)], np.int64)))
-        return pd.DataFrame({"chunk": pdf["chunk"], "range": key[0], "scores": scores, "known": known})
+        return pdf[["chunk", "codes", "words"]].assign(scores=scores, known=known)
 
-    answers = pieces.groupBy("range").applyInPandas(answer, "chunk long, range int, scores binary, known binary")
+    answers = pieces.groupBy("range").applyInPandas(answer, "chunk long, codes binary, words binary, scores binary, known binary")
 
     def finish(key: tuple, packed: pd.DataFrame, told: pd.DataFrame) -> pd.DataFrame:
-        found = _Chunk(packed["blob"].iloc[0], depth, ranges)
-        told = told.sort_values("range")
-        logs = np.concatenate([_spread(b, np.float64) for b in told["scores"]])
+        codes = np.concatenate([_spread_sorted(b) for b in told["codes"]])
+        logs = np.concatenate([_spread(b, np.float32) for b in told["scores"]]).astype(np.float64)
         known = {}
-        for words, blob in zip(found.dealt, told["known"]):
-            known.update(zip(words, _spread(blob, np.int64).tolist()))
-        return _scored(found, logs, known, totals, depth)
+        for words, times in zip(told["words"], told["known"]):
+            known.update(zip(_spread_words(words), _spread(times, np.int64).tolist()))
+        return _scored(*_unpack(packed["blob"].iloc[0]), codes, logs, known, totals, depth)
 
     return chunks.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInPandas(finish, _RESULT)
 
@@ -445,25 +448,27 @@ def _root(pieces: DataFrame, depth: int) -> tuple[Root, _Totals]:
     return root, _Totals(*(int(values[k][0]) for k in ("tokens", "distinct", "ends")))
 
 
-def _scored(found: _Chunk, logs: np.ndarray, known: dict[bytes, int], totals: _Totals, depth: int) -> pd.DataFrame:
-    order = np.argsort(found.codes)
-    codes, logs = found.codes[order], logs[order]
-    score, n_bytes = np.zeros(len(found.ids)), np.zeros(len(found.ids), np.int64)
-    for part, doc in context_codes(found.words, depth):
-        distinct, back = np.unique(part, return_inverse=True)
-        score += np.bincount(doc, logs[np.searchsorted(codes, distinct)][back], len(score))
-        n_bytes += np.bincount(doc, minlength=len(score))
+def _scored(
+    ids: list, texts: list, codes: np.ndarray, logs: np.ndarray, known: dict[bytes, int], totals: _Totals, depth: int
+) -> pd.DataFrame:
+    """Rows of a chunk from the logarithms of its codes and the counts of its words."""
+    words = [tokens(t) for t in texts]
+    place = pd.Index(codes)
+    score, n_bytes = np.zeros(len(ids)), np.zeros(len(ids), np.int64)
+    for part, doc in context_codes(words, depth):
+        score += np.bincount(doc, logs[place.get_indexer(part)], len(ids))
+        n_bytes += np.bincount(doc, minlength=len(ids))
     unit = math.log10(totals.tokens + totals.distinct + 1)
     base = {w: math.log10(c + 1) - unit for w, c in known.items()}
     learned = {w for w, c in known.items() if c}
     end = math.log10(totals.ends + 1) - unit
     out = pd.DataFrame({
-        "doc_id": pd.array(found.ids, "Int64"),
-        "held_out": found.held,
-        "n_tokens": [len(w) + 1 for w in found.words],
-        "n_known": [sum(map(learned.__contains__, w)) + (totals.ends > 0) for w in found.words],
+        "doc_id": pd.array(ids, "Int64"),
+        "held_out": [held_out(i) for i in ids],
+        "n_tokens": [len(w) + 1 for w in words],
+        "n_known": [sum(map(learned.__contains__, w)) + (totals.ends > 0) for w in words],
         "train_tokens": totals.tokens,
-        "base_score": [math.fsum(map(base.__getitem__, w)) + end for w in found.words],
+        "base_score": [math.fsum(map(base.__getitem__, w)) + end for w in words],
         "score": score / _LN10,
         "n_bytes": n_bytes,
     })
