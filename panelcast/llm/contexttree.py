@@ -25,14 +25,17 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelcast.llm.substrings import _unpack, pack_chunks
 from panelcast.sources.sinks import intermediate_path
 
-# Parameters: context bytes (2 to 7); bytes of a chunk at least and at most; positions handled at once.
-DEPTH, LEAST_CHUNK, MOST_CHUNK, STRETCH = 6, 16 << 20, 256 << 20, 4 << 20
+# Parameters: context bytes (2 to 7); bytes of a chunk at least and at most; bytes handled at once.
+DEPTH, LEAST_CHUNK, MOST_CHUNK, STRETCH = 6, 16 << 20, 256 << 20, 1 << 20
+# Codes that wait to be added up.
+_WAITING = 8 << 20
 # Chunks and ranges both grow with the root of the corpus, so that pieces stay of a useful size.
 _ROOT_BYTES = 200_000
 # A byte that UTF-8 never has: it ends every text and fills the contexts before its start.
@@ -91,17 +94,40 @@ def _added(codes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return codes[starts], np.add.reduceat(counts, starts) if len(starts) else counts
 
 
-def chunk_contexts(words: list[list[bytes]], learned: np.ndarray, depth: int = DEPTH) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct codes of all texts, and how often the learned texts have them."""
-    codes, counts = np.zeros(0, _U), np.zeros(0, np.int64)
-    for found, doc in context_codes(words, depth):
-        taught = learned[doc]
-        one, n = np.unique(found[taught], return_counts=True)
-        other, _ = np.unique(found[~taught], return_counts=True)
-        codes, counts = _added(
-            np.concatenate([codes, one, other]), np.concatenate([counts, n, np.zeros(len(other), np.int64)])
-        )
-    return codes, counts
+def batches(texts: list[bytes | None], size: int = STRETCH) -> Iterator[tuple[int, list[list[bytes]]]]:
+    """Words of a few texts at a time, with the place of the first."""
+    first, words, held = 0, [], 0
+    for i, text in enumerate(texts):
+        words.append(tokens(text))
+        held += 16 + len(text or b"")
+        if held >= size:
+            yield first, words
+            first, words, held = i + 1, [], 0
+    if words:
+        yield first, words
+
+
+class _Contexts:
+    """Distinct codes, and how often the learned texts have them."""
+
+    def __init__(self):
+        self.codes, self.counts, self.waiting = [], [], 0
+
+    def take(self, words: list[list[bytes]], learned: np.ndarray, depth: int) -> None:
+        for found, doc in context_codes(words, depth):
+            taught = learned[doc]
+            one, n = np.unique(found[taught], return_counts=True)
+            other, _ = np.unique(found[~taught], return_counts=True)
+            self.codes += [one, other]
+            self.counts += [n, np.zeros(len(other), np.int64)]
+            self.waiting += len(one) + len(other)
+            if self.waiting > _WAITING:
+                codes, counts = self.all()
+                # what is distinct already does not wait
+                self.codes, self.counts, self.waiting = [codes], [counts], 0
+
+    def all(self) -> tuple[np.ndarray, np.ndarray]:
+        return _added(np.concatenate([np.zeros(0, _U), *self.codes]), np.concatenate([np.zeros(0, np.int64), *self.counts]))
 
 
 # -- the tree ----------------------------------------------------------------------------------------
@@ -303,17 +329,19 @@ def _ranges_of(codes: np.ndarray, depth: int, ranges: int) -> np.ndarray:
 def _chunk_pieces(blob: bytes, depth: int, ranges: int) -> Iterator[tuple]:
     """A chunk's distinct codes and words with their counts in learned texts, one piece for every range."""
     ids, texts = _unpack(blob)
-    words = [tokens(t) for t in texts]
     held = np.array([held_out(i) for i in ids], bool)
-    codes, counts = chunk_contexts(words, ~held, depth)
-    order = np.argsort(_ranges_of(codes, depth, ranges), kind="stable")
+    contexts, learned, met = _Contexts(), Counter(), set()
+    for first, words in batches(texts):
+        contexts.take(words, ~held[first : first + len(words)], depth)
+        for found, out in zip(words, held[first:]):
+            met.update(found)
+            if not out:
+                learned.update(found)
+    codes, counts = contexts.all()
+    of = _ranges_of(codes, depth, ranges)
+    order = np.argsort(of, kind="stable")
     codes, counts = codes[order], counts[order]
-    at = np.searchsorted(_ranges_of(codes, depth, ranges), np.arange(ranges + 1))
-    learned, met = Counter(), set()
-    for found, out in zip(words, held):
-        met.update(found)
-        if not out:
-            learned.update(found)
+    at = np.searchsorted(of[order], np.arange(ranges + 1))
     dealt: list[list[bytes]] = [[] for _ in range(ranges)]
     for w in met:
         dealt[zlib.crc32(w) % ranges].append(w)
@@ -324,6 +352,7 @@ def _chunk_pieces(blob: bytes, depth: int, ranges: int) -> Iterator[tuple]:
         yield r, _squeeze_sorted(codes[part]), _squeeze(counts[part]), _squeeze_words(dealt[r]), _squeeze(np.array(times, np.int64))
 
 
+_MERGED = "kind string, place long, value double, pieces binary"
 _PIECE = "range int, chunk long, codes binary, counts binary, words binary, times binary"
 
 
@@ -361,22 +390,28 @@ def score_texts(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
                 rows = [(r, chunk, *rest) for r, *rest in _chunk_pieces(blob, depth, ranges)]
                 yield pd.DataFrame(rows, columns=["range", "chunk", "codes", "counts", "words", "times"])
 
-    chunks.mapInPandas(send, _PIECE).write.option("compression", "none").parquet(f"{path}/pieces")
-    pieces = spark.read.schema(_PIECE).parquet(f"{path}/pieces")
-    root, totals = _root(pieces, depth)
-
-    def answer(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        tree, counts = _merged(pdf, depth)
-        codes = tree.levels[depth].keys
-        logs = root.log_probability(codes, tree.bits(), depth)
-        scores, known = [], []
-        for blob, words in zip(pdf["codes"], pdf["words"]):
-            # logarithms travel in single precision, one part in ten million
-            scores.append(_squeeze(logs[np.searchsorted(codes, _spread_sorted(blob))].astype(np.float32)))
-            known.append(_squeeze(np.array([counts[w] for w in _spread_words(words)], np.int64)))
-        return pdf[["chunk", "codes", "words"]].assign(scores=scores, known=known)
-
-    answers = pieces.groupBy("range").applyInPandas(answer, "chunk long, codes binary, words binary, scores binary, known binary")
+    # the only shuffle of the pieces: a range's sums go up, and its pieces are kept together for the answers
+    met = chunks.mapInPandas(send, _PIECE).groupBy("range").applyInPandas(lambda pdf: _sums(pdf, depth), _MERGED)
+    met.write.partitionBy("kind").option("compression", "none").parquet(f"{path}/ranges")
+    merged = spark.read.schema(_MERGED).parquet(f"{path}/ranges")
+    root, totals = _root(merged.where("kind <> 'pieces'"))
+
+    def answer(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows in batches:
+            for blob in rows["pieces"]:
+                pdf = _table(blob)
+                tree, counts = _merged(pdf, depth)
+                codes = tree.levels[depth].keys
+                logs = root.log_probability(codes, tree.bits(), depth)
+                scores, known = [], []
+                for own, words in zip(pdf["codes"], pdf["words"]):
+                    # logarithms travel in single precision, one part in ten million
+                    scores.append(_squeeze(logs[np.searchsorted(codes, _spread_sorted(own))].astype(np.float32)))
+                    known.append(_squeeze(np.array([counts[w] for w in _spread_words(words)], np.int64)))
+                yield pdf[["chunk", "codes", "words"]].assign(scores=scores, known=known)
+
+    pieces = merged.where("kind = 'pieces'").select("pieces")
+    answers = pieces.mapInPandas(answer, "chunk long, codes binary, words binary, scores binary, known binary")
 
     def finish(key: tuple, packed: pd.DataFrame, told: pd.DataFrame) -> pd.DataFrame:
         codes = np.concatenate([_spread_sorted(b) for b in told["codes"]])
@@ -416,31 +451,45 @@ class _Totals:
     ends: int
 
 
-def _root(pieces: DataFrame, depth: int) -> tuple[Root, _Totals]:
+def _blob(pdf: pd.DataFrame) -> bytes:
+    table, sink = pa.Table.from_pandas(pdf, preserve_index=False), pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, table.schema) as writer:
+        writer.write_table(table)
+    return sink.getvalue().to_pybytes()
+
+
+def _table(blob: bytes) -> pd.DataFrame:
+    with pa.ipc.open_stream(blob) as reader:
+        return reader.read_all().to_pandas()
+
+
+def _sums(pdf: pd.DataFrame, depth: int) -> pd.DataFrame:
+    """What the topmost levels need of a range, and the range's pieces as one row."""
+    tree, words = _merged(pdf, depth)
+    level = tree.levels[2]
+    ends = sum(int(_spread(t, np.int64)[-1]) for t in pdf["times"])
+    parts = [
+        ("tokens", [0], [sum(words.values()) + ends]),
+        # ends are with the first range alone
+        ("distinct", [0], [sum(1 for t in words.values() if t) + (ends > 0)]),
+        ("ends", [0], [ends]),
+        ("counts", _shorter(level.keys), level.counts),
+    ]
+    for j in range(8):
+        # the nearest byte and the decision
+        parts.append(("below", (level.nodes[j] >> _U(16)) << _U(8) | (level.nodes[j] & _U(0xFF)), tree.log_pw[2][j]))
+    frames = [pd.DataFrame({"kind": k, "place": np.asarray(p).astype(np.int64), "value": np.asarray(x, np.float64)}) for k, p, x in parts]
+    sums = pd.concat(frames).groupby(["kind", "place"], as_index=False)["value"].sum().assign(pieces=None)
+    kept = pd.DataFrame({"kind": ["pieces"], "place": [0], "value": [0.0], "pieces": [_blob(pdf.drop(columns="range"))]})
+    return pd.concat([sums, kept])[["kind", "place", "value", "pieces"]]
+
+
+def _root(sums: DataFrame) -> tuple[Root, _Totals]:
     """The topmost levels and the totals of the learned texts.
 
     The sums that reach the driver are as many as pairs of bytes, however large the corpus.
     """
-
-    def sums(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        tree, words = _merged(pdf, depth)
-        level = tree.levels[2]
-        ends = sum(int(_spread(t, np.int64)[-1]) for t in pdf["times"])
-        parts = [
-            ("tokens", [0], [sum(words.values()) + ends]),
-            # ends are with the first range alone
-            ("distinct", [0], [sum(1 for t in words.values() if t) + (ends > 0)]),
-            ("ends", [0], [ends]),
-        ]
-        parts.append(("counts", _shorter(level.keys), level.counts))
-        for j in range(8):
-            # the nearest byte and the decision
-            parts.append(("below", (level.nodes[j] >> _U(16)) << _U(8) | (level.nodes[j] & _U(0xFF)), tree.log_pw[2][j]))
-        frames = [pd.DataFrame({"kind": k, "place": np.asarray(p).astype(np.int64), "value": np.asarray(x, np.float64)}) for k, p, x in parts]
-        return pd.concat(frames).groupby(["kind", "place"], as_index=False)["value"].sum()
-
-    found = pieces.groupBy("range").applyInPandas(sums, "kind string, place long, value double")
-    table = found.groupBy("kind", "place").agg(F.sum("value").alias("value")).toPandas()
+    table = sums.groupBy("kind", "place").agg(F.sum("value").alias("value")).toPandas()
     values = {kind: np.zeros(1 << 16) for kind in ("counts", "below", "tokens", "distinct", "ends")}
     for kind, rows in table.groupby("kind"):
         values[kind][rows["place"].to_numpy(np.int64)] = rows["value"].to_numpy(np.float64)
@@ -452,24 +501,24 @@ def _scored(
     ids: list, texts: list, codes: np.ndarray, logs: np.ndarray, known: dict[bytes, int], totals: _Totals, depth: int
 ) -> pd.DataFrame:
     """Rows of a chunk from the logarithms of its codes and the counts of its words."""
-    words = [tokens(t) for t in texts]
-    place = pd.Index(codes)
-    score, n_bytes = np.zeros(len(ids)), np.zeros(len(ids), np.int64)
-    for part, doc in context_codes(words, depth):
-        score += np.bincount(doc, logs[place.get_indexer(part)], len(ids))
-        n_bytes += np.bincount(doc, minlength=len(ids))
     unit = math.log10(totals.tokens + totals.distinct + 1)
     base = {w: math.log10(c + 1) - unit for w, c in known.items()}
-    learned = {w for w, c in known.items() if c}
+    strange = {w for w, c in known.items() if not c}
     end = math.log10(totals.ends + 1) - unit
+    place = pd.Index(codes)
+    score, n_bytes = np.zeros(len(ids)), np.zeros(len(ids), np.int64)
+    n_tokens, n_known, base_score = [], [], []
+    for first, words in batches(texts):
+        at = slice(first, first + len(words))
+        for part, doc in context_codes(words, depth):
+            score[at] += np.bincount(doc, logs[place.get_indexer(part)], len(words))
+            n_bytes[at] += np.bincount(doc, minlength=len(words))
+        for w in words:
+            n_tokens.append(len(w) + 1)
+            n_known.append(len(w) + (totals.ends > 0) - (sum(map(strange.__contains__, w)) if strange else 0))
+            base_score.append(math.fsum(map(base.__getitem__, w)) + end)
     out = pd.DataFrame({
-        "doc_id": pd.array(ids, "Int64"),
-        "held_out": [held_out(i) for i in ids],
-        "n_tokens": [len(w) + 1 for w in words],
-        "n_known": [sum(map(learned.__contains__, w)) + (totals.ends > 0) for w in words],
-        "train_tokens": totals.tokens,
-        "base_score": [math.fsum(map(base.__getitem__, w)) + end for w in words],
-        "score": score / _LN10,
-        "n_bytes": n_bytes,
-    })
+        "doc_id": pd.array(ids, "Int64"), "held_out": [held_out(i) for i in ids], "n_tokens": n_tokens, "n_known": n_known,
+        "train_tokens": totals.tokens, "base_score": base_score, "score": score / _LN10, "n_bytes": n_bytes,
+    })
     return out.assign(bits_per_byte=-score / math.log(2) / n_bytes)
