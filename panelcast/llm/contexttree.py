@@ -33,11 +33,11 @@ from panelcast.llm.substrings import _unpack, pack_chunks
 from panelcast.sources.sinks import intermediate_path
 
 # Parameters: context bytes (2 to 7); bytes of a chunk at least and at most; bytes handled at once.
-DEPTH, LEAST_CHUNK, MOST_CHUNK, STRETCH = 6, 16 << 20, 256 << 20, 1 << 20
+DEPTH, LEAST_CHUNK, MOST_CHUNK, STRETCH = 6, 8 << 20, 64 << 20, 1 << 20
 # Codes that wait to be added up.
-_WAITING = 8 << 20
+_WAITING = 2 << 20
 # Chunks and ranges both grow with the root of the corpus, so that pieces stay of a useful size.
-_ROOT_BYTES = 200_000
+_ROOT_BYTES = 50_000
 # A byte that UTF-8 never has: it ends every text and fills the contexts before its start.
 BOUNDARY = 0xFF
 # Documents whose checksum modulo 7 is 2 are not learned from.
