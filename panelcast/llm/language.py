@@ -13,7 +13,7 @@ import re
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelcast.llm.text import map_texts
@@ -38,7 +38,7 @@ FAMILIES = {
     "sinitic": ("zh", "yue"),
 }
 
-# Parameters of the fit: labelled rows per language and of all languages, about and at most, and the
+# Parameters of the fit: labelled rows per language and of all languages, at most, and the
 # feature space.  Every label is learned; with many of them each has fewer rows, LEAST_ROWS at least.
 PER_LANGUAGE, ALL_ROWS, LEAST_ROWS, DIMENSIONS = 600, 15_000, 8, 4096
 
@@ -170,21 +170,35 @@ def fit(
     labelled: DataFrame, key: Column, per_language: int = PER_LANGUAGE, all_rows: int = ALL_ROWS,
     dimensions: int = DIMENSIONS,
 ) -> Model:
-    """Fit on (``text``, ``lang``) rows: rows of each language by the hash of ``key``.
+    """Fit on (``text``, ``lang``) rows: distinct texts of each language by the hash of ``key`` and text.
 
-    Texts without letters teach nothing.  Every language is learned: each has about
-    ``per_language`` rows, or its share of ``all_rows`` if that is less, and its first row by the
-    hash at least.  The sample's vectors come from whole texts, computed on the executors.
+    Texts without letters teach nothing, and equal texts of a language teach once, however many
+    rows share them.  Every language is learned: each has at most ``per_language`` rows, or its
+    share of ``all_rows`` if that is less (``LEAST_ROWS`` at least), so the sample never exceeds
+    the larger of ``all_rows`` and ``LEAST_ROWS`` for each language.  Other columns are not read.
+    The sample's vectors come from whole texts, computed on the executors.
     """
-    u = F.pmod(F.xxhash64(F.lit(3), key), F.lit(1 << 30)) / float(1 << 30)
-    teaching = labelled.where("lang IS NOT NULL").where(F.col("text").rlike(r"\p{L}")).withColumn("u", u).withColumn("drawn", F.xxhash64(key))
+    taught = labelled.where("lang IS NOT NULL").where(F.col("text").rlike(r"\p{L}"))
+    teaching = taught.select("lang", "text", F.xxhash64("text").alias("same"), F.xxhash64(key).alias("by_key"))
+    # one row of equal texts, combined before the shuffle; the least draw of its ids
+    one = teaching.groupBy("lang", "same").agg(F.min("by_key").alias("by_key"))
+    one = one.select("lang", "same", "by_key", F.xxhash64("by_key", "same", F.lit(3)).alias("drawn"))
+    u = F.pmod("drawn", F.lit(1 << 30)) / float(1 << 30)
+    one = materialize(one.withColumn("u", u), "language_rows")
     # two numbers per language
-    counts = teaching.groupBy("lang").agg(F.count("*").alias("n"), F.min("u").alias("least")).collect()
+    counts = one.groupBy("lang").agg(F.count("*").alias("n"), F.min("u").alias("least")).collect()
     if not counts:
         return Model({}, np.zeros((0, dimensions + 1)), {}, dimensions)
     per = max(LEAST_ROWS, min(per_language, all_rows // len(counts)))
-    bounds = labelled.sparkSession.createDataFrame([(r.lang, max(per / r.n, r.least)) for r in counts], "lang string, bound double")
-    drawn = teaching.join(F.broadcast(bounds), "lang").where(F.col("u") <= F.col("bound"))
+    # about twice the rows wanted, of which the first by the draw are taken exactly
+    shares = [(r.lang, max(2 * per / r.n, r.least)) for r in counts]
+    bounds = labelled.sparkSession.createDataFrame(shares, "lang string, share double")
+    some = one.join(bounds, "lang").where(F.col("u") <= F.col("share"))
+    by_draw = Window.partitionBy("lang").orderBy("u", "drawn", "same", "by_key")
+    picked = some.withColumn("rank", F.row_number().over(by_draw)).where(F.col("rank") <= per).select("lang", "same", "by_key", "drawn")
+    picked = materialize(picked, "language_picked")
+    # repeated rows of a picked text are one row again
+    drawn = teaching.join(picked, ["lang", "same", "by_key"]).groupBy("lang", "same", "drawn").agg(F.first("text").alias("text"))
 
     def vector(texts: list) -> list[list]:
         return [[features(t, dimensions).astype(np.float32).tobytes() if has_letter(t) else None for t in texts]]

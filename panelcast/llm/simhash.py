@@ -14,6 +14,8 @@ pairs of runs are searched separately, so no block has to fit one task.  Every s
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -63,14 +65,14 @@ def fingerprint(text: str | None, words: int = 3) -> int:
     return int.from_bytes(np.packbits(2 * counts > len(hashes)).tobytes(), "big")
 
 
-def fingerprints(docs: DataFrame, words: int = 3) -> DataFrame:
-    """``doc_id`` and ``fp`` (the fingerprint's 64 bits as a signed long) of every row."""
+def fingerprints(docs: DataFrame, words: int = 3, keep: Sequence[str] = ("doc_id",)) -> DataFrame:
+    """``keep`` and ``fp`` (the fingerprint's 64 bits as a signed long) of every row."""
 
     def add(texts: list) -> list[list]:
         values = np.array([fingerprint(t, words) for t in texts], dtype=_U)
         return [values.view(np.int64)]
 
-    return map_texts(docs, "text", ["doc_id"], "fp long", add)
+    return map_texts(docs, "text", list(keep), "fp long", add)
 
 
 def gray_rank(codes: np.ndarray) -> np.ndarray:
@@ -232,14 +234,14 @@ def _edges(pdf: pd.DataFrame, limit: int, across: np.ndarray | None = None) -> p
     return pd.DataFrame({"a": signed[a], "b": signed[b]})
 
 
-def near_duplicates(docs: DataFrame, limit: int = 3, words: int = 3) -> DataFrame:
-    """``doc_id``, ``fingerprint`` (16 hex digits), ``component_id``, ``root`` of every row.
+def near_duplicates(docs: DataFrame, limit: int = 3, words: int = 3, keep: Sequence[str] = ()) -> DataFrame:
+    """``doc_id``, the columns ``keep``, ``fingerprint`` (16 hex digits), ``component_id``, ``root`` of every row.
 
     Documents whose fingerprints differ in at most ``limit`` bits are linked, equal ones and empty
     texts (fingerprint 0) included; a component is named by its smallest ``doc_id``, null if none
     of its rows has one.  ``root`` tells components apart even then.  Repeated rows stay rows.
     """
-    filed = materialize(fingerprints(docs, words), "simhash_fp")
+    filed = materialize(fingerprints(docs, words, ["doc_id", *keep]), "simhash_fp")
     distinct = materialize(filed.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash_distinct")
     roots = components(link_forest(distinct.select("fp"), limit)).withColumnRenamed("node", "fp")
     named = distinct.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
@@ -247,5 +249,5 @@ def near_duplicates(docs: DataFrame, limit: int = 3, words: int = 3) -> DataFram
     smallest = named.groupBy("root").agg(F.min("first").alias("component_id"))
     by_fp = named.select("fp", "root").join(smallest, "root")
     return filed.join(by_fp, "fp").select(
-        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "root"
+        "doc_id", *keep, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "root"
     )
