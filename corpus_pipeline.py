@@ -6,10 +6,11 @@ unchanged; the last one returns the shard manifest.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelcast.llm import decontaminate, language, mixing, sharding, shingles
+from panelcast.llm import decontaminate, language, mixing, sharding, simhash
 from panelcast.sources.sinks import materialize
 
 
@@ -27,19 +28,31 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return found.where(F.col("lang_pred") != language.UNDETERMINED).select("doc.*")
 
 
+def _placed(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``doc`` (the row) beside ``__file`` and ``__row``, which tell rows apart whatever their ids.
+
+    Rows that are read from Parquet have a place; others are written first.
+    """
+    packed = [F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), "doc_id", "text"]
+    place = [F.col("_metadata.file_path").alias("__file"), F.col("_metadata.row_index").alias("__row")]
+    try:
+        return docs.select(*packed, *place)
+    except AnalysisException:
+        return materialize(docs, "placed").select(*packed, *place)
+
+
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of every group of near-duplicates the first row by id; rows without id come last.
 
-    Rows are linked if the sets of their five-word shingles have a Jaccard similarity of 0.8 or
-    more, and links chain.
+    Groups are those of ``simhash.near_duplicates``: fingerprints of three-word shingles that
+    differ in at most three bits are linked, and links chain.
     """
-    rows = shingles.signed(docs)
-    found = shingles.similar_rows(rows)
-    placed = rows.select("row", F.col("doc.doc_id").alias("doc_id")).join(found, "row")
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row"))
-    kept = placed.groupBy("root").agg(first.alias("first")).select("first.row")
+    rows = _placed(docs)
+    found = simhash.near_duplicates(rows, keep=["__file", "__row"])
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "__file", "__row"))
+    kept = found.groupBy("root").agg(first.alias("first")).select("first.__file", "first.__row")
     # the side without texts is the one to hash, so that texts are not sorted
-    return rows.join(kept.hint("shuffle_hash"), "row", "left_semi").select("doc.*")
+    return rows.join(kept.hint("shuffle_hash"), ["__file", "__row"], "left_semi").select("doc.*")
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -74,7 +87,7 @@ STAGES = [
     ("sharding", shard),
 ]
 
-# support vector machines and shingle sets of another hash family are beyond SQL
+# support vector machines and a hash that DuckDB lacks are beyond SQL
 ORACLE_SQL = None
 
 
