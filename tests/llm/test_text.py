@@ -53,6 +53,23 @@ def test_every_label_is_learned(spark, docs):
     assert all(model.predict(" ".join(words[n]))[0] == n for n in names)
 
 
+def test_sample_bound_and_clashing_names(spark, monkeypatch):
+    """Equal ids, missing ids and repeated texts never exceed the bound; columns of any name do no harm."""
+    drawn = []
+    solve = language.map_texts
+    monkeypatch.setattr(language, "map_texts", lambda rows, *a: drawn.append(rows.groupBy("lang").count().collect()) or solve(rows, *a))
+    extra = ("bound", "u", "drawn", "n", "least", "sign", "family", "same", "by_key", "share", "rank", "vector")
+    names = ", ".join(f"{c} string" for c in extra)
+    for ids in (lambda i: 7, lambda i: None, lambda i: i):
+        rows = [(ids(i), f"the cat {i} sat", "en", *extra) for i in range(400)] + [(ids(i), f"der hund {i % 50} sass", "de", *extra) for i in range(400)]
+        frame = spark.createDataFrame(rows, f"doc_id long, text string, lang string, {names}")
+        drawn.clear()
+        model = language.fit(frame, F.col("doc_id"), per_language=60, dimensions=256)
+        assert {r.lang: r["count"] for r in drawn[0]} == {"en": 60, "de": 50}
+        assert model.predict("the cat")[0] == "en" and model.predict("der hund")[0] == "de"
+        assert language.identify(frame, model, ["doc_id"]).count() == 800
+
+
 def test_primal_and_dual_machines_agree():
     rng = np.random.default_rng(3)
     x = np.hstack([rng.normal(size=(300, 20)), np.ones((300, 1))])
