@@ -13,6 +13,15 @@ from panelcast.operators.enrich import add_store_attributes
 from panelcast.operators.panel import series_window
 
 
+def series_dimension(series: DataFrame, stores: DataFrame, spec: PanelSpec = PanelSpec()) -> DataFrame:
+    """One row per series: its keys and the attributes of its store.
+
+    Narrow enough to be moved by store for the join and by series afterwards; no measure travels
+    with it.
+    """
+    return add_store_attributes(series.select(*spec.keys).distinct(), stores)
+
+
 def build_direct(
     featured: DataFrame,
     direct: DirectSpec = DirectSpec(),
@@ -22,62 +31,66 @@ def build_direct(
     target_columns: Sequence[str] = (),
     extra_columns: Sequence[str] = (),
     stores: DataFrame | None = None,
+    series: DataFrame | None = None,
 ) -> DataFrame:
     """Stack all horizons in a single pass over the featured panel.
 
-    Every value a horizon needs sits a fixed number of rows from the origin: the target
-    ``h`` rows ahead, lag ``k`` of the target ``k - h`` rows behind.  The values of a series
-    are gathered once into an array in day order (one entry per day, so its length is that of
-    the calendar), and each origin row looks its values up by position once per horizon.
-    Gathering, features and look-up all use the partitioning by series, so none of them adds
-    a shuffle; with ``target_columns`` the two branches read different columns and each makes its
-    own, so write a panel that is costly to build first.  A lag shorter than its horizon would look past the origin, so it is null there.
+    Every value a horizon needs sits a fixed number of rows from the origin: the target ``h`` rows
+    ahead, lag ``k`` of the target ``k - h`` rows behind.  Each distance is a column of the one
+    window by series that the features are computed in as well, and the horizons are stacked from
+    those columns, so the panel is read once, sorted once, and no row is joined to its own series.
+    A lag shorter than its horizon would look past the origin, so it is null there.
 
     ``origins`` is a condition on the origin row, applied before the horizons are stacked.
     ``target_columns`` are read at the target row as ``target_<name>``; ``extra_columns`` are
     carried from the origin row.  Rows without a target or without a defined lag or feature
-    are left out, as are rows without a series key.  ``stores`` adds the store attributes by
-    joining them to the series, one row each, rather than to the stacked rows.
+    are left out, as are rows without a series key.
+
+    ``stores`` adds the store attributes: they are joined to the series, one row each, and that
+    narrow table is joined to the placed rows, so measures move by series once.  ``series`` names the
+    series (rows with the keys, repeated or not); without it they are taken from ``featured``.
     """
-    lags = direct.aligned_lags
-    looked_up = [spec.value, *target_columns]
-    days = F.array_sort(F.collect_list(F.struct(spec.date, *looked_up)))
-    history = (
-        featured.groupBy(*spec.keys)
-        .agg(days.alias("_days"))
-        .select(*spec.keys, *[F.col("_days").getField(c).alias(f"_all_{c}") for c in looked_up])
-    )
-    attributes = [c for c in direct.static_columns if c in featured.columns]
-    if stores is not None:
-        history = add_store_attributes(history, stores)
-        attributes = [c for c in direct.static_columns if c in history.columns]
-    rows = featured.withColumn("_row", F.row_number().over(series_window(spec)))
+    lags, window = direct.aligned_lags, series_window(spec)
+    value = F.col(spec.value)
+    ahead = F.struct(value, *target_columns)
+    back = sorted({k - h for k in lags for h in direct.horizons if h <= k})
+    distances = {f"_ahead_{h}": F.lead(ahead, h).over(window) for h in direct.horizons}
+    distances |= {f"_back_{d}": F.lag(value, d).over(window) if d else value for d in back}
+    rows = featured.withColumns(distances)
+    for key in spec.keys:
+        rows = rows.where(F.col(key).isNotNull())
     if origins is not None:
         rows = rows.where(origins)
-    # both sides are partitioned by series, so a merge join moves nothing
-    rows = rows.join(history.hint("merge"), list(spec.keys))
-
-    def at(name: str, distance: Column) -> Column:
-        """The value ``distance`` rows after the origin; null outside the series."""
-        return F.get(f"_all_{name}", F.col("_row") - 1 + distance)
-
-    horizon = F.col("horizon")
-    stacked = rows.withColumn("horizon", F.explode(F.array(*[F.lit(h) for h in direct.horizons]))).select(
+    attributes = [c for c in direct.static_columns if c in featured.columns]
+    if stores is not None:
+        dimension = series_dimension(featured if series is None else series, stores, spec)
+        attributes = [c for c in direct.static_columns if c in dimension.columns]
+        rows = rows.join(dimension.select(*spec.keys, *attributes), list(spec.keys), "left")
+
+    def at_horizon(h: int) -> Column:
+        missing = F.lit(None).cast(featured.schema[spec.value].dataType)
+        return F.struct(
+            F.lit(h).alias("horizon"),
+            F.col(f"_ahead_{h}").getField(spec.value).alias("target"),
+            *[(F.col(f"_back_{k - h}") if h <= k else missing).alias(f"lag_{k}") for k in lags],
+            *[F.col(f"_ahead_{h}").getField(c).alias(f"target_{c}") for c in target_columns],
+        )
+
+    # what must be known at the origin does not depend on the horizon
+    known = F.lit(True)
+    for name in features.origin_columns:
+        known = known & F.col(name).isNotNull()
+    stacked = rows.where(known).select(
         *spec.keys,
         *attributes,
         spec.date,
-        F.col(spec.value).alias("origin_sales"),
+        value.alias("origin_sales"),
         *features.origin_columns,
         *extra_columns,
-        "horizon",
-        at(spec.value, horizon).alias("target"),
-        *[F.when(horizon <= k, at(spec.value, horizon - k)).alias(f"lag_{k}") for k in lags],
-        *[at(c, horizon).alias(f"target_{c}") for c in target_columns],
+        F.inline(F.array(*[at_horizon(h) for h in direct.horizons])),
     )
 
     complete = F.col("target").isNotNull()
-    for name in features.origin_columns:
-        complete = complete & F.col(name).isNotNull()
     for k in lags:
         complete = complete & (F.col(f"lag_{k}").isNotNull() | (F.col("horizon") > k))
     target_date = F.date_add(spec.date, F.col("horizon"))

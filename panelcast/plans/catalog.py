@@ -33,11 +33,7 @@ def _flagged(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _direct_at(spark: SparkSession, folder: str, horizon: int) -> DataFrame:
-    return direct.build_direct(
-        w.featured(spark, folder),
-        DirectSpec(horizons=(horizon,)),
-        stores=w.stores(spark, folder),
-    )
+    return w.direct(spark, folder, spec=DirectSpec(horizons=(horizon,)))
 
 
 def _base_rows(spark: SparkSession, folder: str) -> DataFrame:

@@ -123,6 +123,7 @@ def direct_rows(tables: TableSet, specs: Specs, origins, placed: DataFrame | Non
         origins=origins,
         target_columns=("onpromotion",),
         stores=tables["stores"],
+        series=tables["train"] if placed is None else placed,
     )
 
 

@@ -9,10 +9,10 @@ import datetime as dt
 from collections.abc import Sequence
 from dataclasses import replace
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
-from panelcast.config import INF, DiagnosticsSpec, SplitSpec
+from panelcast.config import INF, DiagnosticsSpec, DirectSpec, SplitSpec
 from panelcast.operators.direct import at_origins, build_direct, in_training, training_rows
 from panelcast.operators.features import add_features
 from panelcast.operators.panel import daily_panel, densify_calendar
@@ -70,13 +70,16 @@ def facts(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _dense(folded: DataFrame, ends: Row) -> DataFrame:
+    return densify_calendar(folded, ends.first, ends.last, zero_columns=("sales", "onpromotion"))
+
+
 def panel(spark: SparkSession, folder: str) -> DataFrame:
     """The dense panel from the first to the last ship day: store_nbr, family, date, sales, onpromotion."""
     shipped = table(spark, folder, "lineitem")
     # two numbers, read from the column's statistics or its one scan
     day = F.col("l_shipdate").cast("date")
-    ends = shipped.agg(F.min(day).alias("first"), F.max(day).alias("last")).first()
-    return densify_calendar(facts(spark, folder), ends.first, ends.last, zero_columns=("sales", "onpromotion"))
+    return _dense(facts(spark, folder), shipped.agg(F.min(day).alias("first"), F.max(day).alias("last")).first())
 
 
 def stores(spark: SparkSession, folder: str) -> DataFrame:
@@ -118,11 +121,19 @@ def featured(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def direct(
-    spark: SparkSession, folder: str, origins: Column | None = None, target_columns: Sequence[str] = ()
+    spark: SparkSession, folder: str, origins: Column | None = None, target_columns: Sequence[str] = (),
+    spec: DirectSpec = DirectSpec(),
 ) -> DataFrame:
-    """Direct rows with store attributes."""
+    """Direct rows with store attributes.
+
+    The shipments are read once, to fold them; the folded rows are written, and the ends of the
+    calendar, the panel and the list of series all come from them.
+    """
+    folded = materialize(facts(spark, folder), "facts")
+    ends = folded.agg(F.min("date").alias("first"), F.max("date").alias("last")).first()
     return build_direct(
-        featured(spark, folder), origins=origins, target_columns=target_columns, stores=stores(spark, folder)
+        add_features(_dense(folded, ends)), spec, origins=origins, target_columns=target_columns,
+        stores=stores(spark, folder), series=folded,
     )
 
 

@@ -1,4 +1,5 @@
 import datetime as dt
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -69,3 +70,35 @@ def test_slices_in_one_scan(spark):
     counts = {r.slice: r.n for r in table.groupBy("slice").agg(F.count("*").alias("n")).collect()}
     assert counts == {"horizon": 2, "family": 2, "horizon+family": 4, "all": 1}
     assert {r.wape for r in table.select(F.round("wape", 9).alias("wape")).collect()} == {0.1}
+
+
+def per_origin(panel, origins):
+    """The same look-up written as one max_by per origin."""
+    known = F.col("sales").isNotNull()
+    lasts = [F.max_by("sales", F.when(known & (F.col("date") <= F.lit(o)), F.col("date"))).alias(f"o{i}") for i, o in enumerate(origins)]
+    wide = panel.groupBy("store_nbr", "family", F.weekday("date").alias("day_of_week")).agg(*lasts)
+    rows = F.array(*[F.struct(F.lit(o).alias("origin"), F.col(f"o{i}").alias("prediction")) for i, o in enumerate(origins)])
+    return wide.select("store_nbr", "family", "day_of_week", F.inline(rows)).where("prediction IS NOT NULL")
+
+
+def test_many_origins_in_one_job(spark, make_series):
+    rng = random.Random(4)
+    values = {(s, f): [rng.choice([None, float(rng.randrange(50))]) for _ in range(420)] for s in (1, 2) for f in "ab"}
+    values[1, "a"][:200] = [None] * 200
+    panel = make_series(values).where("pmod(hash(date, store_nbr), 5) > 0")
+    start = dt.date(2020, 1, 1)
+    for origins in (
+        [start + dt.timedelta(days=i) for i in range(40, 405)],
+        [start + dt.timedelta(days=i) for i in (404, 50, 50, 51, 300)],
+        [start - dt.timedelta(days=9), start + dt.timedelta(days=3), start + dt.timedelta(days=900)],
+    ):
+        found = baselines.last_per_weekday(panel, origins)
+        expected = per_origin(panel, sorted(set(origins))).select(found.columns)
+        assert found.exceptAll(expected).count() == 0 and expected.exceptAll(found).count() == 0
+    many = [start + dt.timedelta(days=i) for i in range(40, 405)]
+    plan = baselines.last_per_weekday(panel, many)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("max_by") <= 4
+    forecast = baselines.weekly_seasonal_naive(panel, many)
+    one = baselines.weekly_seasonal_naive(panel, many[100:101])
+    same = forecast.where(F.col("origin") == F.lit(many[100]))
+    assert one.count() > 0 and one.exceptAll(same).count() == 0 and same.exceptAll(one).count() == 0

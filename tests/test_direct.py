@@ -105,10 +105,68 @@ def test_store_attributes_join_the_series(spark, make_series):
     assert cities == {(1, "Quito", "A"), (2, None, None)}
 
 
-def test_plan_moves_rows_once(spark, data):
+def exchanges(df, column):
+    """Shuffles of a physical plan: (all, those that carry ``column``), and the scanned files' names."""
+    found, files = [], []
+
+    def walk(node):
+        name = node.nodeName()
+        if name == "AdaptiveSparkPlan":
+            return walk(node.inputPlan())
+        if name == "Exchange":
+            output = node.output()
+            found.append({output.apply(i).name() for i in range(output.size())})
+        if name.startswith("Scan"):
+            files.append(node.toString())
+        children = node.children()
+        for i in range(children.size()):
+            walk(children.apply(i))
+
+    walk(df._jdf.queryExecution().executedPlan())
+    return len(found), sum(column in names for names in found), files
+
+
+@pytest.mark.parametrize("broadcast", ["10m", "-1"])
+def test_plan_moves_rows_once(spark, data, broadcast):
     from panelcast.plans import warehouse
 
-    plan = warehouse.direct(spark, data)._jdf.queryExecution().executedPlan().toString()
-    # the two sides of the look-up read the same two exchanges, and nothing moves after them
-    assert plan.count("Exchange hashpartitioning") == 4
-    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+    try:
+        rows = warehouse.direct(spark, data, target_columns=("onpromotion",))
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+        moves, with_measures, files = exchanges(rows, "sales")
+        # measures are placed by series once; the series' table, the stores and their regions move on their own
+        assert with_measures == 1
+        assert moves <= 4 or broadcast == "-1"
+        # the panel is read once, and the other read is that of the series' keys; the shipments were read when they were folded
+        folded = [f for f in files if "ReadSchema: struct<store_nbr" in f]
+        assert len(folded) == 2 and sum("sales" in f for f in folded) == 1
+        assert not any("lineitem" in f for f in files)
+        assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+        values = rows.groupBy("horizon").agg(F.count("*"), F.sum("target"), F.sum("target_onpromotion"), F.count("city")).orderBy("horizon").collect()
+        assert len(values) == 15 and all(r[1] == r[4] for r in values)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+@pytest.mark.parametrize("name", ["promotion_test", "direct_all_summary"])
+def test_shipments_are_read_once(spark, data, name, monkeypatch):
+    """One scan of the shipments, when they are folded, whatever the query reads of them."""
+    from panelcast.plans import catalog, warehouse
+
+    reads = []
+    read = warehouse.table
+    monkeypatch.setattr(warehouse, "table", lambda s, folder, table: reads.append(table) or read(s, folder, table))
+    result = catalog.queries()[name](spark, data)
+    assert reads.count("lineitem") == 1
+    _, _, files = exchanges(result, "sales")
+    assert not any("lineitem" in f for f in files) and result.count() > 0
+
+
+def test_rows_without_series_key_and_unknown_stores(spark, make_series):
+    panel = add_features(make_series({(1, "a"): range(430), (None, "b"): range(430), (3, None): range(430)}))
+    stores = spark.createDataFrame([(1, "Q", "P", "A", 3), (1, "Q", "P", "A", 3)], "store_nbr int, city string, state string, type string, cluster int")
+    rows = build_direct(panel, DirectSpec(horizons=(1,)), stores=stores.distinct())
+    assert {(r.store_nbr, r.city) for r in rows.collect()} == {(1, "Q")}
+    assert build_direct(panel, DirectSpec(horizons=(1,)), stores=stores.limit(0)).where("city IS NULL AND store_nbr = 1").count() == rows.count()

@@ -58,3 +58,31 @@ def test_weekday_starts_on_monday(spark):
     row = enrich.add_calendar(spark.sql("SELECT DATE '2017-06-30' AS date")).first()
     assert (row.day_of_week, row.month) == (4, 6)
     assert dt.date(2017, 6, 30).weekday() == 4
+
+
+def test_one_join_for_all_flags(spark, data):
+    from panelcast.plans import catalog, warehouse
+
+    plan = catalog.queries()["flag_audit"](spark, data)._jdf.queryExecution().executedPlan().toString()
+    # stores with their nations and regions, the stores' own, and one for the calendar
+    stores = warehouse.stores(spark, data)._jdf.queryExecution().executedPlan().toString()
+    joins = lambda text: sum(text.count(j) for j in ("BroadcastHashJoin", "SortMergeJoin", "ShuffledHashJoin"))
+    assert joins(plan) == joins(stores) + 2
+
+
+def test_calendar_dimension(spark):
+    rows = [
+        ("2020-01-01", "Holiday", "Regional", "P", "a", False), ("2020-01-01", "Holiday", "Regional", "P", "b", False),
+        ("2020-01-01", "Holiday", "Local", "Q", None, False), ("2020-01-02", "Holiday", "National", "E", "Black Friday x", True),
+        ("2020-01-03", None, None, None, None, None), ("2020-01-04", "Holiday", "National", "E", "x", None),
+    ]
+    holidays = spark.createDataFrame(rows, "d string, type string, locale string, locale_name string, description string, transferred boolean")
+    holidays = holidays.withColumn("date", F.to_date("d")).drop("d")
+    days = {str(r.date): r for r in enrich.calendar_dimension(holidays).collect()}
+    assert len(days) == 4 and days["2020-01-01"]._states == ["P"] and days["2020-01-01"]._cities == ["Q"]
+    assert not any(r._national for r in days.values()) and days["2020-01-02"]._is_black_friday == 1
+    panel = spark.sql("SELECT date_add(DATE'2020-01-01', CAST(i AS INT)) AS date, s AS state, c AS city FROM VALUES ('P', 'Z'), (NULL, 'Q'), (NULL, NULL) AS t(s, c), range(6) AS r(i)")
+    found = enrich.add_day_flags(panel, holidays)
+    assert {(r.state, r.city) for r in found.where("is_holiday = 1").collect()} == {("P", "Z"), (None, "Q")}
+    assert found.where("is_black_friday = 1").count() == 3 and found.count() == 18
+    assert found.where("is_holiday IS NULL OR is_mothers_day IS NULL").count() == 0
