@@ -37,6 +37,8 @@ OUTPUTS: dict[str, str] = {
     "duplicate_rows": "duplicate_rows:i",
     "parsed_dates": "year:i data_type:s rows:i first_day:t last_day:t",
     "narrowed_panel": "family:s stores:i onpromotion:i store_type:s onpromotion_type:s",
+    "quarantined_orders": "reason:s rows:i",
+    "seasonal_year_scores": _METRICS,
     "numeric_readings": "o_orderpriority:s whole:i ranks:d price:f",
     "panel_total": "sales:d",
     "category_domains": "feature:s levels:i",

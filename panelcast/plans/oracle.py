@@ -357,6 +357,8 @@ fence AS (SELECT *, q1 - 1.5 * (q3 - q1) AS low, q3 + 1.5 * (q3 - q1) AS high FR
     )
     q["numeric_readings"] = """SELECT o_orderpriority, COUNT(TRY_CAST(o_orderpriority AS DOUBLE)) AS whole,
   SUM(TRY_CAST(SUBSTR(o_orderpriority, 1, 1) AS DOUBLE)) AS ranks, SUM(o_totalprice) AS price FROM orders GROUP BY 1"""
+    q["quarantined_orders"] = """SELECT CONCAT_WS(', ', CASE WHEN o_orderkey % 89 = 0 THEN 'o_orderdate' END,
+  CASE WHEN o_orderkey % 97 = 0 THEN 'o_totalprice' END) AS reason, COUNT(*) AS rows FROM orders GROUP BY 1"""
     q["panel_total"] = "SELECT SUM(l_quantity) AS sales FROM lineitem"
     q["daily_total"] = _with([*BASE, DAILY], "SELECT * FROM daily")
     q["daily_span"] = _with(
@@ -486,6 +488,15 @@ UNION ALL SELECT 'tail', COUNT(*), {len(model_features())} FROM d WHERE date IN
     q["naive_scores"] = _with(NAIVES, _cells("naive", "date"))
     q["seasonal_forecast"] = _with([*BASE, SEASONAL], "SELECT * FROM seasonal")
     q["seasonal_scores"] = _with([*BASE, SEASONAL], _cells("seasonal", "origin"))
+    # the panel has every day, so the last day of a weekday up to an origin is at most six days before it
+    year = f"""
+year AS (SELECT CAST(UNNEST(GENERATE_SERIES(DATE '{SPLIT.train_start}', DATE '{SPLIT.train_end}', INTERVAL 1 DAY)) AS DATE) AS origin),
+every AS (
+  SELECT p.sales AS target, r.sales AS prediction
+  FROM panel p JOIN year o ON p.date > o.origin AND p.date <= o.origin + 15
+  LEFT JOIN panel r ON r.store_nbr = p.store_nbr AND r.family = p.family
+       AND r.date = o.origin - CAST((ISODOW(o.origin) - ISODOW(p.date) + 7) % 7 AS INTEGER))"""
+    q["seasonal_year_scores"] = _with([*BASE, year], f"SELECT {metrics()} FROM every")
     stand_in = "stand_in AS (SELECT *, GREATEST(rolling_mean_28, lag_28) AS prediction FROM d)"
     q["model_comparison"] = _with(
         [*NAIVES, SEASONAL, stand_in, MODELS],

@@ -6,7 +6,7 @@ reports never recompute the features, and a lost executor costs a re-read.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
@@ -194,12 +194,14 @@ def diagnostic_reports(
     }
 
 
-def fit_or_load(path: str, training: DataFrame, validation: DataFrame, spec: models.ModelSpec) -> models.FittedModel:
-    """Reuse the model saved under ``path``, else fit and save it."""
+def fit_or_load(path: str, training: DataFrame | Callable[[], DataFrame], validation: DataFrame, spec: models.ModelSpec) -> models.FittedModel:
+    """Reuse the model saved under ``path``, else fit it, from the trees that a broken run left there, and save it."""
     try:
         return models.FittedModel.load(path)
     except (AnalysisException, models.IncompleteModel):
-        fitted = models.fit(training, validation, spec)
+        # a fit reads its rows many times: a function builds and writes them only if they are needed
+        rows = training() if callable(training) else training
+        fitted = models.fit(rows, validation, spec, path)
         fitted.save(path)
         return fitted
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import time
 import uuid
 from collections.abc import Callable, Mapping, Sequence
 
@@ -46,14 +47,28 @@ def parameter_key(*parts: object) -> str:
     return hashlib.sha256(json.dumps([repr(p) for p in parts]).encode()).hexdigest()[:16]
 
 
+def content_state(df: DataFrame) -> str:
+    """Hash of a table's rows, whatever their order: their number and two sums of row hashes.
+
+    One pass, combined before anything moves.  Repeated rows count as often as they occur.
+    """
+    # maps have no hash of their own
+    columns = [F.to_json(c) if f.dataType.typeName() == "map" else F.col(f"`{f.name}`") for f in df.schema for c in [f"`{f.name}`"]]
+    one, two = (F.xxhash64(F.lit(seed), *columns).cast("decimal(38,0)") for seed in (1, 2))
+    return parameter_key(df.schema.simpleString(), *df.agg(F.count("*"), F.sum(one), F.sum(two)).first())
+
+
 def input_state(tables: Mapping[str, DataFrame]) -> str:
     """Hash of path, length and modification time of all files that the tables read.
 
-    The files are listed, not opened.  Tables that no file holds add nothing.
+    The files are listed, not opened.  A table that no file holds counts by its rows (``content_state``).
     """
     files = {name: sorted(df.inputFiles()) for name, df in tables.items()}
     state = []
-    for name in sorted(n for n in files if files[n]):
+    for name in sorted(files):
+        if not files[name]:
+            state.append((name, content_state(tables[name])))
+            continue
         # recursive look-up keeps folder names from being read as partition columns
         listed = tables[name].sparkSession.read.format("binaryFile").option("recursiveFileLookup", True).load(files[name])
         row = F.xxhash64("path", "length", "modificationTime").cast("decimal(38,0)")
@@ -61,12 +76,35 @@ def input_state(tables: Mapping[str, DataFrame]) -> str:
     return parameter_key(*state)
 
 
-def _complete(spark: SparkSession, target: str) -> bool:
-    # the marker is written after the data, so a job that died half-way leaves none
+def _published(spark: SparkSession, path: str) -> list[str]:
+    """Names of the whole builds below ``path``, the oldest first."""
     try:
-        return not spark.read.text(f"{target}.done").isEmpty()
+        rows = spark.read.text(f"{path}/published/*").collect()
     except AnalysisException:
-        return False
+        return []
+    return sorted(r.value for r in rows)
+
+
+def publish(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> str:
+    """Write a build of its own below ``path`` and then name it: its folder.
+
+    Nothing that exists is touched, so whoever reads an earlier build goes on reading it whole, a
+    build that fails leaves no name behind, and builders at the same time do not meet.  The name is
+    a row in a file of its own, which is there whole or not at all.
+    """
+    spark, path = df.sparkSession, path.rstrip("/")
+    name = f"{time.time_ns():020d}-{uuid.uuid4().hex}"
+    write_dataset(df, f"{path}/builds/{name}", partition_by)
+    spark.createDataFrame([(name,)], "name string").coalesce(1).write.text(f"{path}/published/{name}")
+    return f"{path}/builds/{name}"
+
+
+def read_published(spark: SparkSession, path: str) -> DataFrame:
+    """The latest build that was published below ``path``."""
+    found = _published(spark, path.rstrip("/"))
+    if not found:
+        raise FileNotFoundError(f"nothing is published below {path}")
+    return spark.read.parquet(f"{path.rstrip('/')}/builds/{found[-1]}")
 
 
 def read_or_build(
@@ -76,16 +114,15 @@ def read_or_build(
     build: Callable[[], DataFrame],
     partition_by: Sequence[str] = (),
 ) -> DataFrame:
-    """Read ``path/key`` if a complete copy exists, else build, write and read it back.
+    """Read the copy published below ``path/key`` if there is one, else build, publish and read it.
 
     ``key`` names the inputs, their state and the parameters (``parameter_key``, ``input_state``),
-    so changed data is never answered from an old copy.
+    so changed data is never answered from an old copy.  Of several builders at once the first to
+    finish is read by all that come later; every copy is whole.
     """
     target = f"{path.rstrip('/')}/{key}"
-    if not _complete(spark, target):
-        write_dataset(build(), target, partition_by)
-        spark.createDataFrame([(key,)], "key string").coalesce(1).write.mode("overwrite").text(f"{target}.done")
-    return spark.read.parquet(target)
+    found = _published(spark, target)
+    return spark.read.parquet(f"{target}/builds/{found[0]}" if found else publish(build(), target, partition_by))
 
 
 def shared_folder(spark: SparkSession) -> str:

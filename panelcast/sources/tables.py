@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from panelcast.sources.sinks import materialize
+
 TableSet = dict[str, DataFrame]
 
 
@@ -65,6 +67,34 @@ def read_csv_table(
     return reader.option("enforceSchema", False).schema(schema).csv(path, mode=mode)
 
 
+def read_csv_quarantined(spark: SparkSession, path: str, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
+    """Rows that fit ``schema``, and those that do not: ``file``, ``line``, ``reason``.
+
+    The files are parsed once into a written table that both read.  The reason lists the columns
+    whose text is no value of their type, or says that the number of fields is wrong.
+    """
+    refused = "_refused"
+    reader = spark.read.option("header", True).option("enforceSchema", False).option("columnNameOfCorruptRecord", refused)
+    parsed = reader.schema(T.StructType([*schema.fields, T.StructField(refused, T.StringType())])).csv(path, mode="PERMISSIVE")
+    columns = schema.names
+    rows = materialize(parsed.select(*columns, refused, F.col("_metadata.file_path").alias("_file")), "csv")
+    # the line again, every field as text
+    texts = F.from_csv(refused, ", ".join(f"`{c}` string" for c in columns))
+    wrong = [
+        F.when(
+            (F.col("_text").getField(f.name) != "") & F.col("_text").getField(f.name).try_cast(f.dataType).isNull(), F.lit(f.name)
+        )
+        for f in schema
+    ]
+    reasons = F.array_join(F.array_compact(F.array(*wrong)), ", ")
+    fields = F.size(F.split(refused, ","))
+    reason = F.when(reasons != "", reasons).when(fields != len(columns), F.lit("number of fields")).otherwise(F.lit("format"))
+    bad = rows.where(F.col(refused).isNotNull()).withColumn("_text", texts)
+    return rows.where(F.col(refused).isNull()).select(*columns), bad.select(
+        F.col("_file").alias("file"), F.col(refused).alias("line"), reason.alias("reason")
+    )
+
+
 def nan_to_null(df: DataFrame) -> DataFrame:
     """Missing numbers are null everywhere: NaN compares as larger than any number in Spark."""
     floats = [f.name for f in df.schema if isinstance(f.dataType, (T.DoubleType, T.FloatType))]

@@ -2,11 +2,12 @@ import datetime as dt
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from panelcast.config import RunConfig
 from panelcast.sources import (
-    SCHEMAS, input_state, materialize, narrow_types, parameter_key, parse_dates, read_csv_table, read_or_build, read_tables,
-    shared_folder, write_dataset, write_report,
+    SCHEMAS, content_state, input_state, materialize, narrow_types, parameter_key, parse_dates, publish, read_csv_quarantined,
+    read_csv_table, read_or_build, read_published, read_tables, shared_folder, write_dataset, write_report,
 )
 
 
@@ -114,3 +115,60 @@ def test_run_paths(monkeypatch):
     assert RunConfig(run_tag="t").dataset("train") == "s3a://bucket/out/t/datasets/train"
     monkeypatch.delenv("PANELCAST_OUTPUT_DIR")
     assert RunConfig().model("m") == "outputs/1yr_h15/models/m"
+
+
+def test_content_state(spark, tmp_path):
+    """Changed rows of a table that no file holds rebuild an artifact; their order does not."""
+    make = lambda rows: spark.createDataFrame(rows, "a int, b string, c map<string,int>")
+    rows = [(1, "x", {"k": 1}), (2, None, None), (2, None, None)]
+    before = content_state(make(rows))
+    assert content_state(make(rows[::-1]).repartition(3)) == before
+    others = [rows[:2], [*rows, rows[0]], [(1, "x", {"k": 2}), *rows[1:]], [(1, "y", {"k": 1}), *rows[1:]], []]
+    assert len({before, *map(content_state, map(make, others))}) == 6
+    calls = []
+    for table in (rows, rows[::-1], others[0], rows):
+        key = parameter_key(input_state({"t": make(table)}))
+        read_or_build(spark, str(tmp_path), key, lambda: calls.append(1) or make(table).drop("c"))
+    assert len(calls) == 2
+
+
+def test_publishing_is_whole_or_not_at_all(spark, tmp_path):
+    path = str(tmp_path / "table")
+    with pytest.raises(FileNotFoundError):
+        read_published(spark, path)
+    publish(spark.range(10).withColumn("p", F.col("id") % 2), path, ["p"])
+    reader = read_published(spark, path)
+    failing = spark.range(5).select(F.raise_error(F.lit("broken")).cast("long").alias("id"), F.lit(0).alias("p"))
+    with pytest.raises(Exception, match="broken"):
+        publish(failing, path)
+    assert read_published(spark, path).count() == 10
+    publish(spark.range(3), path)
+    # a reader opened before the rebuild still reads whole data
+    assert reader.count() == 10 and reader.where("p = 1").count() == 5
+    assert read_published(spark, path).count() == 3
+
+
+def test_two_builders_of_one_key(spark, tmp_path):
+    path = str(tmp_path / "set")
+
+    def build():
+        # another run finishes the same key meanwhile
+        publish(spark.range(7), f"{path}/k")
+        return spark.range(7).repartition(3)
+
+    own = read_or_build(spark, path, "k", build)
+    later = read_or_build(spark, path, "k", lambda: pytest.fail("built again"))
+    assert own.count() == later.count() == 7 and own.inputFiles() != later.inputFiles()
+    assert read_or_build(spark, path, "k", build).inputFiles() == later.inputFiles()
+
+
+def test_quarantine(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("id,date,sales\n1,2020-01-01,2.5\n2,soon,1\nx,2020-01-03,much\n4,2020-01-04\n5,2020-01-05,1,9\n6,,\n")
+    schema = T.StructType([T.StructField("id", T.IntegerType()), T.StructField("date", T.DateType()), T.StructField("sales", T.DoubleType())])
+    good, bad = read_csv_quarantined(spark, str(tmp_path), schema)
+    assert good.columns == ["id", "date", "sales"] and sorted(r.id for r in good.collect()) == [1, 6]
+    found = {r.line: r.reason for r in bad.collect()}
+    assert found == {
+        "2,soon,1": "date", "x,2020-01-03,much": "id, sales", "4,2020-01-04": "number of fields", "5,2020-01-05,1,9": "number of fields",
+    }
+    assert all(r.file.endswith("a.csv") for r in bad.collect())
