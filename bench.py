@@ -15,13 +15,16 @@ from pyspark.sql import SparkSession
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from panelcast.operators import confidence, errors, severe, signal  # noqa: E402
-from panelcast.operators import tail as tails  # noqa: E402
+from panelcast.operators import reports  # noqa: E402
 from panelcast.plans import catalog  # noqa: E402
 from panelcast.plans import warehouse as w  # noqa: E402
 
 FOLDER = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
+DIAGNOSTICS = (
+    "confidence_validation", "error_by_horizon", "error_by_sales_level", "bias_by_horizon", "tail_overall", "tail_spike_severity",
+    "severe_by_family", "series_concentration", "signal_numeric",
+)
 
 
 def session() -> SparkSession:
@@ -44,22 +47,11 @@ def run(df) -> None:
 
 
 def diagnostics(spark: SparkSession) -> None:
-    """Score once into a table, then every error report from it."""
-    d = w.DIAGNOSTICS
-    scored = w.scored_table(spark, FOLDER)
-    tail = tails.tail_rows(scored, d.tail_threshold)
-    for table in (
-        confidence.confidence_validation(confidence.add_confidence(scored), d.tail_threshold),
-        errors.error_by_horizon(scored),
-        errors.error_by_sales_level(scored, d),
-        errors.bias_by_horizon(scored),
-        tails.tail_overall(tail),
-        tails.spike_severity(tail, d),
-        severe.severe_by_family(tail, d),
-        severe.series_concentration(tail, d),
-        signal.numeric_signal(tail, catalog.NUMERIC, d),
-    ):
-        run(table)
+    """Score once into a table, then the error reports from three reads of it."""
+    tables = reports.report_tables(w.scored_table(spark, FOLDER), catalog.MODEL_FEATURES, spec=w.DIAGNOSTICS)
+    made = reports.sliced_reports(tables)
+    for name in DIAGNOSTICS:
+        run(made[name])
 
 
 def jobs(spark: SparkSession) -> dict:

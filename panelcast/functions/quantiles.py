@@ -24,6 +24,8 @@ def exact_quantiles(
     by: Sequence[str] = (),
     accuracy: int = 20_000,
     bounded_groups: bool = False,
+    wanted: Mapping[str, Column] | None = None,
+    mean: bool = False,
 ) -> DataFrame:
     """One row per group with ``n`` (non-null values) and one column per entry of ``probs``.
 
@@ -32,8 +34,14 @@ def exact_quantiles(
     fixed by the caller (a list of features, a list of horizons): the brackets are then
     broadcast.  Otherwise Spark picks the join, so any number of groups works and adaptive
     execution splits a hot one.
+
+    ``wanted`` holds conditions on the ``by`` columns for entries of ``probs`` that only some
+    groups need; they are null elsewhere.  ``mean`` adds the mean of the values.
     """
     names = list(probs)
+    asked = {name: (wanted or {}).get(name, F.lit(True)) for name in names}
+    means = [F.avg("_v").alias("mean")] if mean else []
+    carried = ["n", "mean"] if mean else ["n"]
     by = list(by)
     margin = 4.0 / accuracy
     column = F.col(value) if isinstance(value, str) else value
@@ -49,13 +57,14 @@ def exact_quantiles(
         F.when(F.count("*") <= accuracy, whole)
         .otherwise(F.percentile_approx("_v", ends, accuracy))
         .alias("ends"),
+        *means,
     )
     if by:
         marked = values.join(F.broadcast(sketch) if bounded_groups else sketch, by)
     else:
         # one-row aggregate: a scalar subquery, evaluated once
-        bracket = sketch.select(F.struct("n", "ends")).scalar()
-        marked = values.select("_v", bracket.alias("b")).select("_v", "b.n", "b.ends")
+        bracket = sketch.select(F.struct("ends", *carried)).scalar()
+        marked = values.select("_v", bracket.alias("b")).select("_v", "b.*")
 
     # one struct per wanted rank; a null value stands for every value below the bracket,
     # and values above it do not matter
@@ -65,7 +74,7 @@ def exact_quantiles(
         F.struct(
             F.lit(i).alias("q"),
             F.when(F.col("_v") >= low_end[i], F.col("_v")).alias("v"),
-            (F.col("_v") <= high_end[i]).alias("keep"),
+            ((F.col("_v") <= high_end[i]) & asked[names[i]]).alias("keep"),
             low_end[i].alias("low"),
             (high_end[i] - low_end[i]).alias("width"),
             (F.lit(float(probs[name])) * (F.col("n") - 1)).alias("place"),
@@ -78,10 +87,12 @@ def exact_quantiles(
         .otherwise(0)
     )
     counted = (
-        marked.select(*by, "n", F.inline(F.array(*per_rank)))
+        marked.select(*by, *carried, F.inline(F.array(*per_rank)))
         .where("keep")
-        .groupBy(*by, "q", "v")
-        .agg(F.count("*").alias("m"), F.max("n").alias("n"), F.max("place").alias("place"), cell.alias("cell"))
+        # what belongs to the group and rank is part of the key: both uses below then need the same
+        # columns, and Spark makes this exchange once for both
+        .groupBy(*by, "q", "v", "place", *carried)
+        .agg(F.count("*").alias("m"), cell.alias("cell"))
     )
 
     # ranks covered by each cell (at most _CELLS + 2 of them per rank), then by each value of the cells kept
@@ -98,7 +109,7 @@ def exact_quantiles(
         "upto", F.col("start") + F.sum("m").over(in_cell)
     ).withColumn("start", F.col("upto") - F.col("m"))
 
-    outputs = [F.coalesce(F.max("n"), F.lit(0)).alias("n")]
+    outputs = [F.coalesce(F.max("n"), F.lit(0)).alias("n")] + [F.max("mean").alias("mean")] * len(means)
     for i, name in enumerate(names):
         this = F.col("q") == i
         low = F.max(F.when(this & covers(low_rank), F.col("v")))
@@ -106,7 +117,7 @@ def exact_quantiles(
         share = F.max(F.when(this, F.col("place") - low_rank))
         missed = F.raise_error(F.lit(f"rank of quantile {name} outside its bracket")).cast("double")
         outputs.append(
-            F.when(F.max("n").isNull(), F.lit(None).cast("double"))
+            F.when(F.max("n").isNull() | ~asked[name], F.lit(None).cast("double"))
             .when(low.isNull() | high.isNull(), missed)
             .otherwise(low + (high - low) * share)
             .alias(name)

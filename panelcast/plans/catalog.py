@@ -13,7 +13,7 @@ from panelcast import __version__
 from panelcast.config import DirectSpec, model_features
 from panelcast.functions.columns import to_number
 from panelcast.operators import (
-    baselines, confidence, direct, eda, enrich, errors, evaluation, explain, features, model, profile,
+    baselines, confidence, direct, eda, enrich, errors, evaluation, explain, features, model, profile, reports,
     severe, signal, tail as tails,
 )
 from panelcast.plans import warehouse as w
@@ -183,7 +183,7 @@ def year_columns(spark, folder):
     daily = materialize(_daily(spark, folder), "daily")
     years = [r.year for r in daily.select(F.year("date").alias("year")).distinct().orderBy("year").collect()]
     wide = eda.year_columns(daily, years)
-    return wide.withColumnsRenamed({str(y): f"y{y}" for y in years})
+    return wide.unpivot("day_of_year", [str(y) for y in years], "year", "sales")
 
 
 def monthly_seasonality(spark, folder):
@@ -345,6 +345,19 @@ def eval_slices(spark, folder):
     return table.withColumn("level", F.coalesce(*levels, F.lit("all")))
 
 
+def _report_tables(spark: SparkSession, folder: str) -> reports.ReportTables:
+    rows = materialize(w.scored(spark, folder, ("onpromotion",)), "scored")
+    return reports.report_tables(rows, MODEL_FEATURES, spec=w.DIAGNOSTICS)
+
+
+def report_slices(spark, folder):
+    return _report_tables(spark, folder).slices
+
+
+def report_quantiles(spark, folder):
+    return reports.report_quantiles(w.scored_table(spark, folder), MODEL_FEATURES, spec=w.DIAGNOSTICS)
+
+
 # -- model -------------------------------------------------------------------------------------
 
 
@@ -512,6 +525,8 @@ CHECKED: dict[str, Query] = {
     "eval_overall": _on_scored(evaluation.overall),
     "eval_horizon_average": lambda s, f: evaluation.horizon_average(evaluation.by_origin_and_horizon(w.scored(s, f))),
     "eval_slices": eval_slices,
+    "report_slices": report_slices,
+    "report_quantiles": report_quantiles,
     "category_domains": lambda s, f: model.category_domains(w.training_table(s, f)),
     "target_encoding": lambda s, f: model.mean_target_encoding(w.training_table(s, f), "store_nbr"),
     "gbt_completeness": gbt_completeness,

@@ -55,7 +55,7 @@ OUTPUTS: dict[str, str] = {
     "daily_total": "date:t sales:d",
     "daily_span": "first_day:t last_day:t days:i",
     "year_profile": "year:i day_of_year:i sales:d",
-    "year_columns": "day_of_year:i y1995:d y1996:d y1997:d y1998:d y1999:d y2000:d y2001:d",
+    "year_columns": "day_of_year:i year:i sales:d",
     "monthly_seasonality": "month:i mean_sales:d",
     "weekly_seasonality": "weekday:i mean_sales:d",
     "transactions_by_day": "date:t store_nbr:i transactions:i",
@@ -131,6 +131,12 @@ OUTPUTS: dict[str, str] = {
     "eval_overall": _METRICS,
     "eval_horizon_average": "horizon:i mae:d rmse:d wape_pct:d",
     "eval_slices": f"slice:s level:s {_METRICS}",
+    "report_slices": (
+        f"slice:s origin:t horizon:s family:s store_nbr:s level:s level_order:s {_TAIL_METRICS} tail_count:i tail_volume:d "
+        "under_count:i severe_under_count:i severe_count:i severe_mean_ratio:d severe_mean_error:d severe_promotion_pct:d "
+        "well_count:i well_promotion_pct:d"
+    ),
+    "report_quantiles": "question:s part:s population:s n:i mean:e median:e low:d high:d",
     "sample_fixed": f"{_ROW} target:d prediction:d",
 }
 

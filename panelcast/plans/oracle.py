@@ -262,6 +262,77 @@ LABELLED = [*SCORES, CONFIDENCE]
 TAIL_LIST = "SELECT * FROM {source} ORDER BY {column}, store_nbr, family, date, horizon LIMIT {n}"
 
 
+# reports of all slices in one table
+ALL_ROWS = f"""
+all_rows AS (
+  SELECT *, prediction - target AS error, prediction / NULLIF(target, 0) AS prediction_ratio,
+         target > {DIAGNOSTICS.tail_threshold} AS in_tail FROM labelled),
+tail_rows AS (SELECT * FROM all_rows WHERE in_tail)"""
+REPORT_SLICES = {
+    "all": {},
+    "all_by_horizon": {"horizon": "horizon"},
+    "all_by_origin": {"origin": "date"},
+    "all_by_origin_horizon": {"origin": "date", "horizon": "horizon"},
+    "all_by_level": {"level": LEVEL[0], "level_order": LEVEL[1]},
+    "all_by_tier": {
+        "level": "NULLIF(prediction_confidence, 'unknown')",
+        "level_order": "CASE prediction_confidence WHEN 'high' THEN 0 WHEN 'medium' THEN 1 WHEN 'low' THEN 2 END",
+    },
+    "tail": {},
+    "tail_by_horizon": {"horizon": "horizon"},
+    "tail_by_origin": {"origin": "date"},
+    "tail_by_family": {"family": "family"},
+    "tail_by_store": {"store_nbr": "store_nbr"},
+    "tail_by_series": {"store_nbr": "store_nbr", "family": "family"},
+    "tail_by_level": {"level": SPIKE[0], "level_order": SPIKE[1]},
+    "tail_by_coverage": {"level": COVERAGE[0], "level_order": COVERAGE[1]},
+}
+REPORT_KEYS = {
+    "origin": "DATE", "horizon": "BIGINT", "family": "VARCHAR", "store_nbr": "BIGINT", "level": "VARCHAR", "level_order": "BIGINT",
+}
+
+
+def _report_slice(source: str, name: str, keys: dict[str, str]) -> str:
+    listed = ", ".join(f"CAST({keys.get(k, 'NULL')} AS {kind}) AS {k}" for k, kind in REPORT_KEYS.items())
+    where = f"WHERE {keys['level']} IS NOT NULL" if "level" in keys else ""
+    severe = "in_tail AND prediction_ratio < 0.5"
+    well = "in_tail AND prediction_ratio BETWEEN 0.75 AND 1.25"
+    promoted = "CASE WHEN target_onpromotion > 0 THEN 100.0 ELSE 0 END"
+    return f"""
+SELECT '{name}' AS slice, {", ".join(REPORT_KEYS)}, {metrics()}, AVG(error) AS mean_error, AVG(prediction_ratio) AS mean_ratio,
+  COUNT(*) FILTER (WHERE in_tail) AS tail_count, SUM(target) FILTER (WHERE in_tail) AS tail_volume,
+  COUNT(*) FILTER (WHERE in_tail AND prediction < target) AS under_count,
+  COUNT(*) FILTER (WHERE in_tail AND prediction < 0.5 * target) AS severe_under_count,
+  COUNT(*) FILTER (WHERE {severe}) AS severe_count, AVG(prediction_ratio) FILTER (WHERE {severe}) AS severe_mean_ratio,
+  AVG(error) FILTER (WHERE {severe}) AS severe_mean_error, AVG({promoted}) FILTER (WHERE {severe}) AS severe_promotion_pct,
+  COUNT(*) FILTER (WHERE {well}) AS well_count, AVG({promoted}) FILTER (WHERE {well}) AS well_promotion_pct
+FROM (SELECT {listed}, target, prediction, error, prediction_ratio, in_tail, target_onpromotion FROM {source} {where}) rows
+GROUP BY {", ".join(REPORT_KEYS)}"""
+
+
+def _report_median(question: str, part: str, population: str, value: str, source: str) -> str:
+    """One row per part that has values."""
+    value = f"CAST({value} AS DOUBLE)"
+    return (
+        f"SELECT '{question}' AS question, {part} AS part, '{population}' AS population, COUNT({value}) AS n, "
+        f"AVG({value}) AS mean, MEDIAN({value}) AS median, CAST(NULL AS DOUBLE) AS low, CAST(NULL AS DOUBLE) AS high "
+        f"FROM {source} GROUP BY 1, 2, 3 HAVING COUNT({value}) > 0"
+    )
+
+
+REPORT_QUANTILES = " UNION ALL ".join(
+    [
+        "SELECT 'volatility' AS question, '' AS part, 'all' AS population, COUNT(rolling_cv_28) AS n, AVG(rolling_cv_28) AS mean, "
+        "CAST(NULL AS DOUBLE) AS median, QUANTILE_CONT(rolling_cv_28, 1.0 / 3) AS low, QUANTILE_CONT(rolling_cv_28, 2.0 / 3) AS high "
+        "FROM scored HAVING COUNT(rolling_cv_28) > 0",
+        _report_median("error", "''", "all", "(prediction - target)", "scored"),
+        _report_median("error", "''", "tail", "error", "tail"),
+        _report_median("error_by_horizon", "CAST(horizon AS VARCHAR)", "all", "(prediction - target)", "scored"),
+    ]
+    + [_report_median("feature", f"'{f}'", p, f, p) for p, names in (("severe", dict.fromkeys([*HISTORY, *NUMERIC])), ("tail", HISTORY), ("well", NUMERIC)) for f in names]
+)
+
+
 def _cells(source: str, origin: str) -> str:
     return f"SELECT {origin} AS origin, horizon, {metrics()} FROM {source} GROUP BY 1, 2"
 
@@ -369,9 +440,9 @@ fence AS (SELECT *, q1 - 1.5 * (q3 - q1) AS low, q3 + 1.5 * (q3 - q1) AS high FR
     )
     q["year_columns"] = _with(
         [*BASE, DAILY],
-        "SELECT DAYOFYEAR(date) AS day_of_year, "
-        + ", ".join(f"SUM(sales) FILTER (WHERE YEAR(date) = {y}) AS y{y}" for y in range(1995, 2002))
-        + " FROM daily GROUP BY 1",
+        """SELECT d.day_of_year, y.year, MAX(s.sales) AS sales
+FROM (SELECT DISTINCT DAYOFYEAR(date) AS day_of_year FROM daily) d CROSS JOIN (SELECT DISTINCT YEAR(date) AS year FROM daily) y
+LEFT JOIN daily s ON DAYOFYEAR(s.date) = d.day_of_year AND YEAR(s.date) = y.year GROUP BY 1, 2""",
     )
     q["monthly_seasonality"] = _with(
         [*BASE, DAILY], "SELECT MONTH(date) AS month, AVG(sales) AS mean_sales FROM daily GROUP BY 1"
@@ -649,6 +720,13 @@ UNION ALL SELECT 'date', CAST(date AS VARCHAR), {SLICE_METRICS} FROM scored GROU
 UNION ALL SELECT 'family', family, {SLICE_METRICS} FROM scored GROUP BY family
 UNION ALL SELECT 'all', 'all', {SLICE_METRICS} FROM scored""",
     )
+    q["report_slices"] = _with(
+        [*LABELLED, ALL_ROWS],
+        " UNION ALL ".join(
+            _report_slice("tail_rows" if name.startswith("tail") else "all_rows", name, keys) for name, keys in REPORT_SLICES.items()
+        ),
+    )
+    q["report_quantiles"] = _with(TAILS, REPORT_QUANTILES)
     q["sample_fixed"] = _with(
         SCORES,
         f"""SELECT store_nbr, family, date, horizon, target, prediction FROM scored

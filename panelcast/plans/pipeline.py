@@ -15,8 +15,9 @@ from pyspark.sql import functions as F
 
 from panelcast import __version__
 from panelcast.config import DiagnosticsSpec, DirectSpec, FeatureSpec, PanelSpec, RunConfig, SplitSpec
-from panelcast.operators import baselines, confidence, eda, enrich, errors, evaluation, explain, profile, severe, signal
+from panelcast.operators import baselines, confidence, eda, enrich, errors, explain, profile, severe, signal
 from panelcast.operators import model as models
+from panelcast.operators import reports as sliced
 from panelcast.operators import tail as tails
 from panelcast.operators.direct import (
     at_origins, build_direct, in_training, split_overlap, training_rows, validation_rows,
@@ -151,46 +152,20 @@ def exploration_reports(tables: TableSet) -> dict[str, DataFrame]:
 def diagnostic_reports(
     scored: DataFrame, tail: DataFrame, training: DataFrame, specs: Specs
 ) -> dict[str, DataFrame]:
-    """All error tables of the scored rows and of their tail."""
+    """All error tables of the scored rows and of their tail.
+
+    The sliced ones come from three reads of the scored rows; lists and category shares are read apart.
+    """
     d = specs.diagnostics
     names = list(specs.model.features)
-    numeric, categorical = signal.split_features(names, specs.model.categorical)
-    comparison = signal.numeric_signal(tail, numeric, d)
+    categorical = signal.split_features(names, specs.model.categorical)[1]
     domain = signal.category_domain(training, categorical)
-    cells = evaluation.by_origin_and_horizon(scored)
-    return {
-        "confidence_validation": confidence.confidence_validation(scored, d.tail_threshold, d.severe_ratio),
-        "tail_overall": tails.tail_overall(tail),
-        "tail_by_horizon": tails.tail_by_horizon(tail),
-        "tail_by_origin": tails.tail_by_origin(tail),
-        "tail_spike_severity": tails.spike_severity(tail, d),
+    tables = sliced.report_tables(scored, names, specs.model.categorical, d)
+    return sliced.sliced_reports(tables) | {
         "tail_largest_under": tails.largest_underpredictions(tail, d),
-        "tail_coverage": tails.coverage_distribution(tail, d),
-        "tail_under_rates": tails.underprediction_rates(tail, d),
-        "severe_overview": severe.severe_overview(tail, d),
-        "severe_by_family": severe.severe_by_family(tail, d),
-        "severe_by_store": severe.severe_by_store(tail, d),
-        "severe_by_horizon": severe.severe_by_horizon(tail, d),
-        "severe_by_origin": severe.severe_by_origin(tail, d),
-        "severe_history_compare": severe.history_comparison(tail, severe.history_columns(names), d),
         "severe_worst": severe.worst_severe(tail, d),
-        "series_concentration": severe.series_concentration(tail, d),
-        "severe_summary": severe.severe_summary(tail, names, d),
-        "promotion_test": severe.promotion_test(tail, d),
-        "signal_population": signal.signal_population(tail, d),
-        "signal_numeric": comparison,
-        "signal_strongest": signal.strongest_signal(comparison),
         "signal_categorical": signal.categorical_signal(tail, categorical, domain, d),
-        "error_by_horizon": errors.error_by_horizon(scored),
-        "error_by_origin": errors.error_by_origin(scored),
-        "error_by_sales_level": errors.error_by_sales_level(scored, d),
-        "bias_overall": errors.bias_overall(scored),
-        "bias_by_horizon": errors.bias_by_horizon(scored),
         "worst_predictions": errors.worst_predictions(scored, d),
-        "error_summary": errors.error_summary(scored),
-        "eval_origin_horizon": cells,
-        "eval_overall": evaluation.overall(scored),
-        "eval_horizon_average": evaluation.horizon_average(cells),
     }
 
 
