@@ -32,6 +32,7 @@ def build_direct(
     extra_columns: Sequence[str] = (),
     stores: DataFrame | None = None,
     series: DataFrame | None = None,
+    need_target: bool = True,
 ) -> DataFrame:
     """Stack all horizons in a single pass over the featured panel.
 
@@ -44,7 +45,8 @@ def build_direct(
     ``origins`` is a condition on the origin row, applied before the horizons are stacked.
     ``target_columns`` are read at the target row as ``target_<name>``; ``extra_columns`` are
     carried from the origin row.  Rows without a target or without a defined lag or feature
-    are left out, as are rows without a series key.
+    are left out, as are rows without a series key; ``need_target=False`` keeps rows whose target
+    lies after the panel's last day.
 
     ``stores`` adds the store attributes: they are joined to the series, one row each, and that
     narrow table is joined to the placed rows, so measures move by series once.  ``series`` names the
@@ -90,7 +92,7 @@ def build_direct(
         F.inline(F.array(*[at_horizon(h) for h in direct.horizons])),
     )
 
-    complete = F.col("target").isNotNull()
+    complete = F.col("target").isNotNull() if need_target else F.lit(True)
     for k in lags:
         complete = complete & (F.col(f"lag_{k}").isNotNull() | (F.col("horizon") > k))
     target_date = F.date_add(spec.date, F.col("horizon"))

@@ -358,6 +358,10 @@ def report_quantiles(spark, folder):
     return reports.report_quantiles(w.scored_table(spark, folder), MODEL_FEATURES, spec=w.DIAGNOSTICS)
 
 
+def future_forecast(spark, folder):
+    return w.stand_in_forecast(w.future(spark, folder)).withColumnRenamed("date", "origin")
+
+
 # -- model -------------------------------------------------------------------------------------
 
 
@@ -432,6 +436,31 @@ def shapley_importance(spark, folder):
     return explain.attribution_within(fitted, validation, TOLERANCE, D.sample_size, seed=D.seed)[0]
 
 
+def gbt_report_slices(spark, folder):
+    """Every error, tail, severe and confidence measure of the fitted model's rows."""
+    fitted, validation = _fitted(spark, folder)
+    rows = materialize(fitted.score(validation), "gbt_scored")
+    return reports.report_tables(rows, MODEL_FEATURES, spec=D).slices
+
+
+def gbt_comparison(spark, folder):
+    """The fitted model beside both baselines, on the baselines' origins."""
+    fitted, validation = _fitted(spark, folder)
+    rows = validation.where(direct.at_origins(BASE_ORIGINS))
+    cells = {
+        "persistence": baselines.score_cells(baselines.persistence_forecast(rows), "date"),
+        "weekly_seasonal": baselines.score_cells(_seasonal(spark, folder)),
+        "boosted_trees": baselines.score_cells(fitted.score(rows), "date"),
+    }
+    return baselines.compare_models(cells, "boosted_trees")
+
+
+def gbt_forecast(spark, folder):
+    """The days after the panel's last one, by the fitted model."""
+    scored = _fitted(spark, folder)[0].score(w.future(spark, folder))
+    return scored.select("store_nbr", "family", F.col("date").alias("origin"), "horizon", "target_date", "prediction")
+
+
 D = w.DIAGNOSTICS
 
 # queries compared with SQL
@@ -526,6 +555,7 @@ CHECKED: dict[str, Query] = {
     "eval_horizon_average": lambda s, f: evaluation.horizon_average(evaluation.by_origin_and_horizon(w.scored(s, f))),
     "eval_slices": eval_slices,
     "report_slices": report_slices,
+    "future_forecast": future_forecast,
     "report_quantiles": report_quantiles,
     "category_domains": lambda s, f: model.category_domains(w.training_table(s, f)),
     "target_encoding": lambda s, f: model.mean_target_encoding(w.training_table(s, f), "store_nbr"),
@@ -539,6 +569,9 @@ MODELLED: dict[str, Query] = {
     "gbt_predictions": gbt_predictions,
     "gbt_importance": gbt_importance,
     "shapley_importance": shapley_importance,
+    "gbt_report_slices": gbt_report_slices,
+    "gbt_comparison": gbt_comparison,
+    "gbt_forecast": gbt_forecast,
 }
 
 

@@ -136,6 +136,7 @@ OUTPUTS: dict[str, str] = {
         "under_count:i severe_under_count:i severe_count:i severe_mean_ratio:d severe_mean_error:d severe_promotion_pct:d "
         "well_count:i well_promotion_pct:d"
     ),
+    "future_forecast": "store_nbr:i family:s origin:t horizon:i target_date:t prediction:d",
     "report_quantiles": "question:s part:s population:s n:i mean:e median:e low:d high:d",
     "sample_fixed": f"{_ROW} target:d prediction:d",
 }

@@ -82,8 +82,8 @@ f AS (
 _ORIGIN_COLUMNS = FeatureSpec().origin_columns
 
 
-def direct_cte(where: str, horizons: str = "1, 16") -> str:
-    """Direct rows by joining the panel to itself on row numbers."""
+def direct_cte(where: str, horizons: str = "1, 16", future: bool = False) -> str:
+    """Direct rows by joining the panel to itself on row numbers; ``future`` keeps those without a target."""
     lags = "".join(
         f"""
   LEFT JOIN w l{k} ON l{k}.store_nbr = f.store_nbr AND l{k}.family = f.family
@@ -92,7 +92,8 @@ def direct_cte(where: str, horizons: str = "1, 16") -> str:
     )
     needed = " AND ".join(
         [f"f.{c} IS NOT NULL" for c in _ORIGIN_COLUMNS]
-        + ["t.sales IS NOT NULL", "l28.sales IS NOT NULL", "l365.sales IS NOT NULL"]
+        + (["TRUE"] if future else ["t.sales IS NOT NULL"])
+        + ["l28.sales IS NOT NULL", "l365.sales IS NOT NULL"]
         + [f"(l{k}.sales IS NOT NULL OR h.horizon > {k})" for k in (7, 14)]
     )
     return f"""
@@ -105,7 +106,7 @@ d AS MATERIALIZED (
          ISODOW(f.date + CAST(h.horizon AS INTEGER)) - 1 AS day_of_week,
          MONTH(f.date + CAST(h.horizon AS INTEGER)) AS month
   FROM f CROSS JOIN range({horizons}) h(horizon)
-  JOIN w t ON t.store_nbr = f.store_nbr AND t.family = f.family AND t.rn = f.rn + h.horizon{lags}
+  {"LEFT JOIN" if future else "JOIN"} w t ON t.store_nbr = f.store_nbr AND t.family = f.family AND t.rn = f.rn + h.horizon{lags}
   LEFT JOIN stores st ON st.store_nbr = f.store_nbr
   WHERE {needed} AND {where})"""
 
@@ -726,6 +727,10 @@ UNION ALL SELECT 'all', 'all', {SLICE_METRICS} FROM scored""",
             _report_slice("tail_rows" if name.startswith("tail") else "all_rows", name, keys) for name, keys in REPORT_SLICES.items()
         ),
     )
+    q["future_forecast"] = _with(
+        [PANEL, FEATURES, STORES, direct_cte("f.date = (SELECT MAX(date) FROM panel)", future=True), SCORED],
+        "SELECT store_nbr, family, date AS origin, horizon, target_date, prediction FROM scored",
+    )
     q["report_quantiles"] = _with(TAILS, REPORT_QUANTILES)
     q["sample_fixed"] = _with(
         SCORES,

@@ -23,6 +23,7 @@ from panelcast.operators.direct import (
     at_origins, build_direct, in_training, split_overlap, training_rows, validation_rows,
 )
 from panelcast.operators.features import add_features
+from panelcast.operators.forecast import answer, future_rows
 from panelcast.operators.panel import by_series, daily_panel, densify_calendar
 from panelcast.sources.sinks import input_state, materialize, parameter_key, read_or_build, write_report
 from panelcast.sources.tables import TableSet
@@ -90,6 +91,8 @@ class RunResult:
     scored: DataFrame
     tail: DataFrame
     reports: dict[str, DataFrame] = field(default_factory=dict)
+    # the rows of the ``test`` table with their predictions, if there is such a table
+    forecast: DataFrame | None = None
 
 
 def placed_panel(tables: TableSet, specs: Specs) -> DataFrame:
@@ -232,7 +235,18 @@ def run(
         parameter_key(model_key, d),
         lambda: tails.tail_rows(scored, d.tail_threshold),
     )
-    result = RunResult(training, validation, fitted, scored, tail)
+    forecast = None
+    if "test" in tables:
+
+        def ahead():
+            last = written.agg(F.max("date")).first()[0]
+            rows = future_rows(
+                prepared_panel(tables, specs, placed), last, specs.direct, specs.features, specs.panel, tables["stores"], written
+            )
+            return answer(tables["test"], fitted.score(rows), specs.panel)
+
+        forecast = read_or_build(spark, config.predictions("forecast"), model_key, ahead)
+    result = RunResult(training, validation, fitted, scored, tail, forecast=forecast)
     reports = result.reports
     reports |= exploration_reports(tables)
     reports |= baseline_reports(written, specs, validation)

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from panelcast.config import INF, DiagnosticsSpec, DirectSpec, SplitSpec
 from panelcast.operators.direct import at_origins, build_direct, in_training, training_rows
 from panelcast.operators.features import add_features
+from panelcast.operators.forecast import future_rows
 from panelcast.operators.panel import daily_panel, densify_calendar
 from panelcast.operators.tail import tail_rows
 from panelcast.sources.sinks import materialize
@@ -137,6 +138,14 @@ def direct(
     )
 
 
+def future(spark: SparkSession, folder: str) -> DataFrame:
+    """Direct rows from the panel's last day on, whose targets are not known."""
+    folded = materialize(facts(spark, folder), "facts")
+    ends = folded.agg(F.min("date").alias("first"), F.max("date").alias("last")).first()
+    featured_rows = add_features(_dense(folded, ends))
+    return future_rows(featured_rows, ends.last, stores=stores(spark, folder), series=folded)
+
+
 def validation(spark: SparkSession, folder: str, target_columns: Sequence[str] = ()) -> DataFrame:
     return direct(spark, folder, at_origins(SPLIT.validation_origins), target_columns)
 

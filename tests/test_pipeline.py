@@ -60,6 +60,10 @@ def test_whole_run(spark, csv_folder, tmp_path):
     assert result.tail.where("target <= 60").count() == 0 and result.tail.count() > 0
     assert set(result.scored.columns) >= {"prediction", "prediction_confidence", "abs_error"}
 
+    # the table of days to come, fourteen of them after the last known one
+    ahead = result.forecast.collect()
+    assert [(r.store_nbr, r.family, r.horizon) for r in ahead] == [(1, "BREAD", 14)] and ahead[0].prediction > 0
+
     small = {"error_by_horizon": 15, "error_by_origin": 3, "confidence_validation": 3, "tail_coverage": 7,
              "signal_numeric": 17, "importance": 23, "attribution": 23, "model_comparison": 3,
              "baseline_persistence": 30, "baseline_weekly": 30, "eval_origin_horizon": 45}
