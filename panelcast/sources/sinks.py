@@ -129,12 +129,19 @@ def shared_folder(spark: SparkSession) -> str:
     """The folder for intermediate tables that every executor sees.
 
     It is the session's ``spark.checkpoint.dir``; a session that sets none (as in tests) uses a
-    folder of its own below the warehouse, which Spark's own tables share in the same way.
+    folder of its own below the warehouse, which Spark's own tables share in the same way.  On a
+    cluster whose warehouse is a machine's own folder the setting is required.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_intermediate"
+    master = spark.conf.get("spark.master", "local")
+    return _shared_folder(spark.conf.get("spark.checkpoint.dir", None), spark.conf.get("spark.sql.warehouse.dir"), master)
+
+
+def _shared_folder(checkpoint: str | None, warehouse: str, master: str) -> str:
+    if checkpoint:
+        return checkpoint.rstrip("/")
+    if not master.startswith("local") and warehouse.startswith(("/", "file:")):
+        raise RuntimeError(f"set spark.checkpoint.dir to a folder that all executors share: {warehouse} is local to one machine")
+    return f"{warehouse.rstrip('/')}/_intermediate"
 
 
 def intermediate_path(spark: SparkSession, name: str) -> str:

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from panelcast.config import RunConfig
+from panelcast.sources import sinks
 from panelcast.sources import (
     SCHEMAS, content_state, input_state, materialize, narrow_types, parameter_key, parse_dates, publish, read_csv_quarantined,
     read_csv_table, read_or_build, read_published, read_tables, shared_folder, write_dataset, write_report,
@@ -172,3 +173,12 @@ def test_quarantine(spark, tmp_path):
         "2,soon,1": "date", "x,2020-01-03,much": "id, sales", "4,2020-01-04": "number of fields", "5,2020-01-05,1,9": "number of fields",
     }
     assert all(r.file.endswith("a.csv") for r in bad.collect())
+
+
+def test_a_cluster_needs_a_shared_folder():
+    assert sinks._shared_folder("hdfs://n/c/", "file:/w", "yarn") == "hdfs://n/c"
+    assert sinks._shared_folder(None, "hdfs://n/w/", "yarn") == "hdfs://n/w/_intermediate"
+    assert sinks._shared_folder(None, "file:/w", "local[8]") == "file:/w/_intermediate"
+    for warehouse in ("file:/w", "/w"):
+        with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+            sinks._shared_folder(None, warehouse, "spark://h:7077")
