@@ -1,7 +1,7 @@
 """Columns of every registered query and how they are put out for comparison.
 
 ``s`` text, ``i`` whole number, ``d`` number rounded to six places, ``r`` rate rounded to
-nine, ``e`` large number rounded to two, ``t`` day as text.
+nine, ``e`` large number rounded to two, ``g`` number of any size to nine digits, ``t`` day as text.
 """
 
 from __future__ import annotations
@@ -137,7 +137,7 @@ OUTPUTS: dict[str, str] = {
         "well_count:i well_promotion_pct:d"
     ),
     "future_forecast": "store_nbr:i family:s origin:t horizon:i target_date:t prediction:d",
-    "report_quantiles": "question:s part:s population:s n:i mean:e median:e low:d high:d",
+    "report_quantiles": "question:s part:s population:s n:i mean:g median:g low:d high:d",
     "sample_fixed": f"{_ROW} target:d prediction:d",
 }
 
@@ -156,6 +156,9 @@ def spark_select(df: DataFrame, spec: str) -> DataFrame:
         elif kind in _PLACES:
             c = F.round(c.cast("double"), _PLACES[kind])
             c = F.when(c == 0, F.lit(0.0)).otherwise(c)  # no negative zero
+        elif kind == "g":
+            c = c.cast("double") + F.lit(0.0)
+            c = F.when(c.isNotNull(), F.format_string("%.8e", c).cast("double"))
         else:
             c = c.cast("string")
         return c.alias(name)
@@ -170,6 +173,8 @@ def sql_select(spec: str, query: str) -> str:
         if kind in _PLACES:
             rounded = f'ROUND(CAST("{name}" AS DOUBLE), {_PLACES[kind]})'
             return f'CASE WHEN {rounded} = 0 THEN CAST(0 AS DOUBLE) ELSE {rounded} END AS "{name}"'
+        if kind == "g":
+            return f"""CAST(PRINTF('%.8e', CAST("{name}" AS DOUBLE) + 0) AS DOUBLE) AS "{name}\""""
         return f'CAST("{name}" AS VARCHAR) AS "{name}"'
 
     columns = ",\n  ".join(column(name, kind) for name, kind in _pairs(spec))
