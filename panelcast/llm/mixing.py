@@ -24,6 +24,8 @@ from panelcast.sources.sinks import materialize
 WEIGHTS = (5, 2, 1)
 # Whole-number form of the golden ratio's fraction: the points are exact, so reruns and machines agree.
 _PHI, _POINT_BITS = 2654435769, 32
+# Interchangeable documents are told apart in runs of so many.
+_RUN = 4096
 
 
 def source_targets(sizes: DataFrame, weights: Sequence[float] = WEIGHTS, budget: float = 1.5, ceiling: float = 2.0) -> DataFrame:
@@ -52,24 +54,39 @@ def source_targets(sizes: DataFrame, weights: Sequence[float] = WEIGHTS, budget:
     )
 
 
-def _line(rows: DataFrame, buckets: int) -> DataFrame:
+def _running(rows: DataFrame, by: Sequence[str], group: Column, order: Sequence[str], value: str) -> DataFrame:
+    """Add ``before``: the sum of ``value`` over the earlier rows of equal ``by``, which may be null.
+
+    ``group`` grows with ``order``.  Sums over the groups and sums within a group add up to the running
+    sum, so that no task orders more than one group, or one row per group.
+    """
+    grouped = rows.withColumn("__group", group)
+    names = [f"__{c}" for c in by]
+    totals = grouped.groupBy(*[F.col(c).alias(n) for c, n in zip(by, names)], F.col("__group").alias("__at")).agg(F.sum(value).alias("__sum"))
+    ahead = Window.partitionBy(*names).orderBy("__at").rowsBetween(Window.unboundedPreceding, -1)
+    totals = totals.withColumn("__ahead", F.coalesce(F.sum("__sum").over(ahead), F.lit(0)))
+    within = Window.partitionBy(*by, "__group").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    inside = grouped.withColumn("__inside", F.coalesce(F.sum(value).over(within), F.lit(0)))
+    met = F.col("__group") == F.col("__at")
+    for c, n in zip(by, names):
+        met = met & F.col(c).eqNullSafe(F.col(n))
+    found = inside.join(totals.drop("__sum").hint("merge"), met)
+    return found.withColumn("before", F.col("__ahead") + F.col("__inside")).drop("__group", "__at", "__ahead", "__inside", *names)
+
+
+def _line(rows: DataFrame, bits: int) -> DataFrame:
     """Place the documents of each source on a line of words in hash order: add ``start``.
 
-    ``bucket`` is the leading part of the hash, so sums over buckets and sums within a bucket add
-    up to the running sum of the source.
+    The leading ``bits`` of the hash are the bucket.  Rows of one source, id and size are
+    interchangeable: they are counted before anything is ordered, stand together on the line, and
+    are told apart again in runs of bounded length, which adaptive execution deals out by bytes.
     """
-    hashed = rows.withColumn("h", F.xxhash64(F.lit(7), "doc_id")).withColumn("bucket", F.shiftrightunsigned("h", 64 - buckets))
-    totals = hashed.groupBy("source", "bucket").agg(F.sum("size").alias("words"))
-    over_buckets = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(
-        F.col("source").alias("s"), F.col("bucket").alias("b"), F.coalesce(F.sum("words").over(over_buckets), F.lit(0)).alias("offset")
-    )
-    # equal doc_ids are ordered by size: rows that tie on both are interchangeable
-    within = Window.partitionBy("source", "bucket").orderBy("h", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
-    inside = hashed.withColumn("inside", F.coalesce(F.sum("size").over(within), F.lit(0)))
-    return inside.join(offsets.hint("merge"), F.col("source").eqNullSafe(F.col("s")) & (F.col("bucket") == F.col("b"))).withColumn(
-        "start", F.col("offset") + F.col("inside")
-    ).drop("s", "b", "offset", "inside", "h", "bucket")
+    same = rows.groupBy("source", "doc_id", "size").agg(F.count("*").alias("n")).withColumn("words", F.col("size") * F.col("n"))
+    hashed = same.withColumn("h", F.xxhash64(F.lit(7), "doc_id", "size"))
+    placed = _running(hashed, ["source"], F.shiftrightunsigned("h", 64 - bits), ["h", "doc_id", "size"], "words")
+    runs = placed.withColumn("run", F.explode(F.expr(f"sequence(0L, (n - 1) DIV {_RUN})"))).hint("rebalance")
+    each = runs.withColumn("i", F.explode(F.expr(f"sequence(run * {_RUN}, least((run + 1) * {_RUN}, n) - 1)")))
+    return each.select("source", "doc_id", "size", (F.col("before") + F.col("i") * F.col("size")).alias("start"))
 
 
 def _slots(targets: DataFrame, chunk: int) -> DataFrame:
@@ -95,8 +112,7 @@ def _slots(targets: DataFrame, chunk: int) -> DataFrame:
     # written, so that Spark plans the joins below by the real number of slots, not by that of sources
     placed = materialize(placed, "mix_slots")
     counts = placed.groupBy("sid", "chunk").agg(F.count("*").alias("n"))
-    over_chunks = Window.partitionBy("sid").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("sid", "chunk", F.coalesce(F.sum("n").over(over_chunks), F.lit(0)).alias("offset"))
+    offsets = _running(counts, ["sid"], F.expr(f"chunk DIV {chunk}"), ["chunk"], "n").select("sid", "chunk", F.col("before").alias("offset"))
     within = Window.partitionBy("chunk", "sid").orderBy("t")
     ranked = placed.withColumn("inside", F.row_number().over(within) - 1).join(offsets.hint("merge"), ["sid", "chunk"])
     return ranked.select("sid", "t", (F.col("offset") + F.col("inside")).alias("nth"))
@@ -104,7 +120,7 @@ def _slots(targets: DataFrame, chunk: int) -> DataFrame:
 
 def mix(
     docs: DataFrame, size: Column | None = None, weights: Sequence[float] = WEIGHTS, budget: float = 1.5,
-    ceiling: int = 2, block: int = 64, chunk: int = 4096, buckets: int = 10,
+    ceiling: int = 2, block: int = 64, chunk: int = 4096, bucket_rows: int = 1 << 16,
 ) -> tuple[DataFrame, DataFrame]:
     """The mix: (documents with ``taken``, schedule).
 
@@ -122,7 +138,8 @@ def mix(
     targets = source_targets(sizes, weights, budget, ceiling)
     targets = targets.withColumn("sid", F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())))
     targets = materialize(targets.withColumn("blocks", F.ceil(F.col("source_size") / block)), "mix_targets")
-    line = _line(rows, buckets)
+    # buckets grow with the documents, of which Parquet keeps the number
+    line = _line(rows, max(1, (rows.count() // bucket_rows).bit_length()))
 
     # block k of a source covers words k*size/blocks up to (k+1)*size/blocks
     schedule = (
