@@ -117,7 +117,8 @@ def find_windows(docs: DataFrame, benchmark: DataFrame, keep: tuple[str, ...] =
 
 
 def _groups(items: DataFrame) -> list[DataFrame]:
-    """The items in groups of bounded bytes, dealt by a hash of the row."""
+    """The items in groups of bounded bytes, dealt by a hash of the row; equal rows count once."""
+    items = items.distinct()
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = -(-total // AUTOMATON_BYTES) or 1
     if n == 1:
