@@ -6,6 +6,7 @@ token archives (a tokenizer) and context trees (logarithms of gamma functions);
 
 from __future__ import annotations
 
+from panelcast.llm.licence_digests import LICENCE_DIGESTS
 from panelcast.llm.licence_texts import KNOWN_LICENCES
 from panelcast.llm.licences import SPELLINGS
 
@@ -77,9 +78,22 @@ SELECT doc_id, size, CAST(text_crc32 AS BIGINT) AS text_crc32, 'bytes' AS law, s
 FROM p"""
 
 
+# A line that names a holder or a year, as a whole: marks of a comment, then one of four kinds of notice.
+_YEAR = "(?:(?:19|20)[0-9]{2}|[<{\\[](?:year|yyyy))"
+_HOLDERS = "the[ \\t].*(?:authors|contributors|developers|foundation|project|team)[ \\t.,]*"
+_NOTICE = (
+    "[ \\t/*#;%!|>''-]*(?:"
+    f"(?:portions[ \\t]+)?copyright[ \\t:]*(?:(?:\\(c\\)|©|&copy;|by[ \\t]|{_YEAR}).*|{_HOLDERS})"
+    f"|\\(c\\)[ \\t]*(?:copyright|by[ \\t]|{_YEAR}).*"
+    "|©.*"
+    "|all rights reserved[ \\t.,;!*/#-]*)"
+)
+
+
 def _canonical(text: str) -> str:
-    out = f"translate({text}, '{_UPPER}' || chr(13), '{_LOWER}' || chr(10))"
-    out = f"regexp_replace({out}, '(?:^|\\n)[ \\t]*(?:copyright|\\(c\\)|©|all rights reserved)[^\\n]*', chr(10), 'g')"
+    """Line by line: notices go; then words alone, of which equivalent spellings become one."""
+    out = f"string_split(translate({text}, '{_UPPER}' || chr(13), '{_LOWER}' || chr(10)), chr(10))"
+    out = f"array_to_string(list_transform({out}, lambda x: CASE WHEN regexp_full_match(x, '{_NOTICE}') THEN '' ELSE x END), chr(10))"
     out = f"' ' || regexp_replace({out}, '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+', ' ', 'g') || ' '"
     for old, new in SPELLINGS:
         for _ in range(2):
@@ -93,8 +107,11 @@ def _quoted(value: str) -> str:
 
 OP4 = f"""
 WITH k AS (
-  SELECT sha256({_canonical("text")}) AS d, MIN(licence) AS licence
-  FROM (VALUES {", ".join(f"({_quoted(n)}, {_quoted(t)})" for n, t in KNOWN_LICENCES)}) AS x(licence, text) GROUP BY 1),
+  SELECT d, MIN(licence) AS licence FROM (
+    SELECT sha256({_canonical("text")}) AS d, licence
+    FROM (VALUES {", ".join(f"({_quoted(n)}, {_quoted(t)})" for n, t in KNOWN_LICENCES)}) AS x(licence, text)
+    UNION ALL
+    SELECT * FROM (VALUES {", ".join(f"({_quoted(d)}, {_quoted(n)})" for n, d in LICENCE_DIGESTS)}) AS y(d, licence)) GROUP BY 1),
 t AS (SELECT doc_id, sha256({_canonical("text")}) AS canonical_sha256 FROM documents)
 SELECT doc_id, canonical_sha256, licence FROM t LEFT JOIN k ON d = canonical_sha256"""
 

@@ -7,12 +7,14 @@ import random
 import textwrap
 import zlib
 
+import duckdb
 import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from panelcast.llm import licences, rangecoder, sharding, tokens, warc
+from check_oracle import compare
+from panelcast.llm import licences, rangecoder, sharding, sql, tokens, warc
 from panelcast.llm.licence_texts import KNOWN_LICENCES
 
 VOCABULARY = pytest.importorskip("public_tokenizers").path("word_bpe_49k.json")
@@ -84,6 +86,26 @@ def test_licences_wrapped_and_commented(spark, docs):
     assert {r.doc_id: r.licence for r in licences.scan_licences(docs(rows)).collect()} == expected
 
 
+def test_licence_sql_on_licences(spark, docs, tmp_path):
+    """The twin states the rule in its own way; here it meets licences, not prose that merely names them."""
+    known = dict(KNOWN_LICENCES[:9])
+    heads = (
+        "", "Copyright (c) 2020 Some One\n", "Portions copyright by X\n(C) 1999 Y\r\n", " * Copyright: the X contributors.\n * ALL RIGHTS RESERVED.\n", "© z\n",
+        "copyright [year] holder\n(c) <yyyy>\n", "copyright laws apply\n", "all rights reserved by us\n", "the copyright (c) 2020\n", "Copyright the authors of this\n",
+    )
+    rows = [(i, head + body) for i, (head, body) in enumerate((h, b) for h in heads for b in known.values())]
+    folder = pathlib.Path("/usr/share/common-licenses")
+    rows += [(1000 + i, f.read_text(encoding="utf-8")) for i, f in enumerate(sorted(folder.glob("*"))) if f.is_file()]
+    rows += [(3000, known["ISC"].replace("above copyright", "above\ncopyright")), (2000, None), (2001, ""), (0, rows[0][1])]
+    docs(rows).write.parquet(str(tmp_path / "documents.parquet"))
+    found = licences.scan_licences(spark.read.parquet(str(tmp_path / "documents.parquet"))).toPandas()
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    assert compare(found, con.execute(sql.ORACLE_SQL["op4_licences"]).df()) == ""
+    named = found[found.licence.notna()]
+    assert set(known) <= set(named.licence) and len(found) > len(named) >= 7 * len(known)
+
+
 def test_whole_long_licences(spark, docs):
     """Licence files as Debian ships them, and those without their appendix behind comment marks."""
     folder = pathlib.Path("/usr/share/common-licenses")

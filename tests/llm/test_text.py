@@ -2,11 +2,13 @@
 
 import random
 import re
+import struct
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -121,6 +123,71 @@ def test_mix(spark, docs):
     assert by_source == {s: n for s, n in taken.items() if n}
 
 
+def point_hash(doc_id, size):
+    """Spark's chained 64-bit hash of (7, id, size); a null leaves the hash as it is."""
+    h = xxhash.xxh64_intdigest(struct.pack("<i", 7), seed=42)
+    for value in (doc_id, size):
+        if value is not None:
+            h = xxhash.xxh64_intdigest(struct.pack("<q", value), seed=h)
+    return h
+
+
+def mixed_by_hand(rows, block=64):
+    """Taken words by (source, id, size): the schedule slot by slot, the blocks word by word."""
+    line, sizes = defaultdict(list), defaultdict(int)
+    for doc_id, text, _, source in rows:
+        size = len(WORD.findall(text or ""))
+        sizes[source] += size
+        line[source].append((point_hash(doc_id, size), doc_id is not None, doc_id or 0, size, doc_id))
+    target = targets(sizes)
+    names = sorted((s for s in sizes if s is not None), key=lambda s: s.encode()) + ([None] if None in sizes else [])
+    names = [s for s in names if target[s] > 0]
+    blocks = {s: -(-sizes[s] // block) for s in names}
+    need = [target[s] * blocks[s] / sizes[s] for s in names]
+    edges = [round(sum(need[: i + 1]) / sum(need) * 2**32) for i in range(len(need))]
+    uses, rank = defaultdict(int), defaultdict(int)
+    for t in range(round(sum(need))):
+        point = (t * 2654435769 + 2654435769 // 2) % 2**32
+        source = next(s for s, high in zip(names, edges) if high > point)
+        turn, k = divmod(rank[source], blocks[source])
+        rank[source] += 1
+        uses[source, k] += turn < 2
+    taken = Counter()
+    for source in names:
+        worth = [0] * sizes[source]
+        for k in range(blocks[source]):
+            for word in range(k * sizes[source] // blocks[source], (k + 1) * sizes[source] // blocks[source]):
+                worth[word] = uses[source, k]
+        start = 0
+        for *_, size, doc_id in sorted(line[source], key=lambda d: d[:4]):
+            taken[source, doc_id, size, sum(worth[start : start + size])] += size > 0
+            start += size
+    return +taken
+
+
+@pytest.mark.parametrize("bucket_rows", [1 << 16, 16])
+def test_mix_row_by_row(spark, docs, bucket_rows):
+    rng = random.Random(8)
+    rows = [(i % 500 or None, "word " * rng.randrange(120), None, rng.choice(["a", "b", "b", "b", "ü", None])) for i in range(1500)]
+    rows += [(None, "w w w", None, "b")] * 300 + [(7, "again " * 90, None, "a")] * 40
+    documents, _ = mixing.mix(docs(rows), chunk=32, bucket_rows=bucket_rows)
+    found = documents.collect()
+    assert len(found) == len(rows)
+    assert Counter((r.source, r.doc_id, r["size"], r.taken) for r in found if r["size"]) == mixed_by_hand(rows)
+
+
+def test_mix_with_one_id(spark):
+    """A table of one id, in few sizes: rows are counted before they are ordered, and each is there again."""
+    rows = spark.range(100_000).select(
+        F.lit(5).cast("long").alias("doc_id"), F.repeat(F.lit("w "), (F.col("id") % 3 + 1).cast("int")).alias("text"), F.lit("s").alias("source")
+    )
+    documents, _ = mixing.mix(rows)
+    found = documents.agg(F.count("*").alias("n"), F.sum("taken").alias("taken"), F.countDistinct("start").alias("starts"), F.max(F.col("taken") / F.col("size")).alias("most")).first()
+    words = 2 * 100_000 - 1  # sizes 1, 2, 3 in turn, the last row has 1
+    assert (found.n, found.starts) == (100_000, 100_000) and found.most <= 2
+    assert abs(found.taken - 1.5 * words) <= 256
+
+
 def test_mix_without_words(spark, docs):
     assert mixing.mix(docs([]))[0].count() == 0
     found = mixing.mix(docs([(1, None, None, "a"), (2, " ", None, None)]))[0].collect()
@@ -144,6 +211,17 @@ def test_windows_and_offsets(spark, docs, monkeypatch, bound):
     assert sorted((r.n_hit, r.n_items, r.contaminated) for r in report) == [(0, 0, False)] * 4 + [(2, 3, True)] + [(17, 3, True)] * 2
 
 
+def test_equal_items_count_once(spark, docs, monkeypatch):
+    """Rows of equal items never fill one group: each stands in one group, once."""
+    monkeypatch.setattr(decontaminate, "AUTOMATON_BYTES", 100)
+    items = [(1, "one item that many rows hold")] * 500 + [(None, "another one")] * 500 + [(i, f"item number {i}") for i in range(2, 12)]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    groups = decontaminate._groups(benchmark)
+    assert len(groups) <= 8 and sorted(map(str, (tuple(r) for g in groups for r in g.collect()))) == sorted(map(str, set(items)))
+    found = decontaminate.find_windows(docs([(1, "x ONE item, that many rows hold. another one"), (2, "item number 11")]), benchmark).collect()
+    assert {r.doc_id: (list(r.item_ids), len(r.spans)) for r in found} == {1: (["1"], 1), 2: (["11"], 1)}
+
+
 def test_windows_of_nothing(spark, docs):
     empty = spark.createDataFrame([], "item_id long, text string")
     assert [r.n_hit for r in decontaminate.contamination(docs([(1, "a b")]), empty).collect()] == [0]
