@@ -120,7 +120,7 @@ def _slots(targets: DataFrame, chunk: int) -> DataFrame:
 
 def mix(
     docs: DataFrame, size: Column | None = None, weights: Sequence[float] = WEIGHTS, budget: float = 1.5,
-    ceiling: int = 2, block: int = 64, chunk: int = 4096, bucket_rows: int = 1 << 16,
+    ceiling: int = 2, block: int = 64, chunk: int = 4096, least_bits: int = 10, bucket_rows: int = 1 << 16,
 ) -> tuple[DataFrame, DataFrame]:
     """The mix: (documents with ``taken``, schedule).
 
@@ -139,7 +139,7 @@ def mix(
     targets = targets.withColumn("sid", F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())))
     targets = materialize(targets.withColumn("blocks", F.ceil(F.col("source_size") / block)), "mix_targets")
     # buckets grow with the documents, of which Parquet keeps the number
-    line = _line(rows, max(1, (rows.count() // bucket_rows).bit_length()))
+    line = _line(rows, max(least_bits, (rows.count() // bucket_rows).bit_length()))
 
     # block k of a source covers words k*size/blocks up to (k+1)*size/blocks
     schedule = (

@@ -165,12 +165,12 @@ def mixed_by_hand(rows, block=64):
     return +taken
 
 
-@pytest.mark.parametrize("bucket_rows", [1 << 16, 16])
-def test_mix_row_by_row(spark, docs, bucket_rows):
+@pytest.mark.parametrize(("least_bits", "bucket_rows"), [(10, 1 << 16), (1, 16), (1, 1 << 16)])
+def test_mix_row_by_row(spark, docs, least_bits, bucket_rows):
     rng = random.Random(8)
     rows = [(i % 500 or None, "word " * rng.randrange(120), None, rng.choice(["a", "b", "b", "b", "ü", None])) for i in range(1500)]
     rows += [(None, "w w w", None, "b")] * 300 + [(7, "again " * 90, None, "a")] * 40
-    documents, _ = mixing.mix(docs(rows), chunk=32, bucket_rows=bucket_rows)
+    documents, _ = mixing.mix(docs(rows), chunk=32, least_bits=least_bits, bucket_rows=bucket_rows)
     found = documents.collect()
     assert len(found) == len(rows)
     assert Counter((r.source, r.doc_id, r["size"], r.taken) for r in found if r["size"]) == mixed_by_hand(rows)
