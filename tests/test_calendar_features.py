@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from panelcast.config import FeatureSpec, PanelSpec
 from panelcast.operators.direct import at_origins, build_direct, in_training
-from panelcast.operators.features import _with_dips, add_features, add_rolling, add_spike_counts, add_spikes, calendar_features
+from panelcast.operators.features import _with_dips, add_features, add_rolling, add_spike_counts, add_spikes, calendar_features, origin_features
 from panelcast.operators.panel import densify_calendar
 from panelcast.plans import warehouse
 
@@ -115,3 +115,41 @@ def test_direct_rows_of_a_span_are_those_of_all_days(spark, data):
         assert part.columns == whole.columns
         found, expected = (exact(df.orderBy(*keys).collect()) for df in (part, whole))
         assert len(expected) > 0 and found == expected
+
+
+ORIGINS = [FIRST, FIRST + dt.timedelta(days=20), LAST - dt.timedelta(days=40), LAST - dt.timedelta(days=16), LAST, LAST + dt.timedelta(days=3)]
+
+
+def test_origins_have_the_features_of_the_whole_calendar(spark):
+    rows = folded(spark)
+    whole = add_features(densify_calendar(rows, FIRST, LAST)).drop("is_spike_day").where(at_origins(ORIGINS))
+    part = origin_features(rows, FIRST, LAST, ORIGINS, ahead=15)
+    expected = listed(whole, whole.columns)
+    assert len(expected) == 8 * 5
+    assert listed(part, whole.columns) == expected
+
+
+@pytest.mark.parametrize("need_target", [True, False])
+def test_direct_rows_of_origins_are_those_of_the_filled_calendar(spark, need_target):
+    rows = folded(spark).withColumn("onpromotion", F.when(F.col("sales") > 1, F.col("store_nbr")))
+    dense = add_features(densify_calendar(rows, FIRST, LAST, ["sales", "onpromotion"]))
+    options = {"target_columns": ("onpromotion",), "need_target": need_target}
+    whole = build_direct(dense, origins=at_origins(ORIGINS), **options)
+    part = build_direct(origin_features(rows, FIRST, LAST, ORIGINS, 15, ["sales", "onpromotion"]), **options)
+    keys = ["store_nbr", "family", "date", "horizon"]
+    assert part.columns == whole.columns
+    found, expected = (exact(df.orderBy(*keys).collect()) for df in (part, whole))
+    assert len(expected) > 0 and found == expected
+
+
+def test_origins_do_not_fill_the_calendar(spark):
+    """A series keeps its own rows of the days around an origin, and no row is added for the others."""
+    day = LAST - dt.timedelta(days=30)
+    held = origin_features(folded(spark).where("store_nbr in (1, 6)"), FIRST, LAST, [day], 15).select(F.size("_days")).collect()
+    assert len(held) == 3 and max(n for n, in held) < 20
+
+
+def test_repeated_day_is_refused_at_origins(spark):
+    rows = folded(spark)
+    with pytest.raises(Exception, match="several rows"):
+        origin_features(rows.unionByName(rows.where("store_nbr = 2")), FIRST, LAST, [LAST], 15).collect()
