@@ -102,3 +102,27 @@ def test_many_origins_in_one_job(spark, make_series):
     one = baselines.weekly_seasonal_naive(panel, many[100:101])
     same = forecast.where(F.col("origin") == F.lit(many[100]))
     assert one.count() > 0 and one.exceptAll(same).count() == 0 and same.exceptAll(one).count() == 0
+
+
+def test_weekly_naive_equals_its_join_and_joins_nothing(spark, make_series):
+    """Against targets joined to ``last_per_weekday``, with gaps, nulls, repeated days and rows without a series key."""
+    rng = random.Random(11)
+    values = {(s, f): [rng.choice([None, float(rng.randrange(50))]) for _ in range(120)] for s in (1, 2, None) for f in ("a", None)}
+    values[1, "a"][:70] = [None] * 70
+    panel = make_series(values).where("pmod(hash(date, store_nbr), 5) > 0")
+    panel = panel.unionByName(panel.where("store_nbr = 2 and day(date) = 9").withColumn("sales", F.lit(None).cast("double"))).cache()
+    for origins, horizons in [
+        ([START + dt.timedelta(days=i) for i in range(40, 100)], tuple(range(1, 16))),
+        ([START + dt.timedelta(days=i) for i in (90, 30, 55, 55, 130)], (3, 7, 8, 22)),
+        ([START - dt.timedelta(days=5)], (6, 7)),
+    ]:
+        found = baselines.weekly_seasonal_naive(panel, origins, DirectSpec(horizons=horizons))
+        pairs = spark.createDataFrame([(o, h) for o in sorted(set(origins)) for h in horizons], "origin date, horizon int")
+        targets = panel.join(pairs, F.date_add("origin", F.col("horizon")) == F.col("date")).withColumn("day_of_week", F.weekday("date"))
+        known = baselines.last_per_weekday(panel, origins)
+        expected = targets.join(known, ["store_nbr", "family", "day_of_week", "origin"], "left").select(
+            "origin", "store_nbr", "family", F.col("date").alias("target_date"), "horizon", F.col("sales").alias("target"), "prediction"
+        )
+        assert found.columns == expected.columns and found.count() > 0
+        assert found.exceptAll(expected).count() == 0 and expected.exceptAll(found).count() == 0
+        assert "Join" not in found._jdf.queryExecution().optimizedPlan().toString()
