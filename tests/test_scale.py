@@ -86,3 +86,13 @@ def test_many_origins_read_history_once(spark, data):
     assert baselines.weekly_seasonal_naive(history, origins).count() == 20 * 15 * history.select(
         "store_nbr", "family"
     ).distinct().count()
+
+
+@pytest.mark.parametrize("name", ["direct_h1", "direct_h15", "direct_all_summary", "set_sizes"])
+def test_days_of_the_calendar_are_not_moved_sorted_or_joined(spark, data, name):
+    """Windows, sorts and joins of direct rows see folded rows or series; their days come from the series' arrays."""
+    plan = catalog.CHECKED[name](spark, data)._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    unfolded = next(i for i, line in enumerate(plan) if "Generate explode" in line and "_place#" in line)
+    assert unfolded > 1
+    for line in plan[:unfolded]:
+        assert not any(f"{operator} " in line for operator in ("Window", "Sort", "Join", "RepartitionByExpression"))
